@@ -122,7 +122,7 @@ def denormalize(
         target = star.table(ref.table)
         dim = tables[ref.table]
         full = denormalize(star, tables, ref.table, skew_over) if target.references else dim
-        added = [c for c in star.wide_attributes(ref.table) if c not in (target.key, *wide)]
+        added = [c for c in star.reachable_attributes(ref.table) if c not in (target.key, *wide)]
         df = lookup(
             df,
             full.select(F.col(target.key).alias(ref.column), *added),

@@ -11,6 +11,8 @@ from starmart.sources.store import Store, workspace
 # Quotes inside quoted fields are doubled; fields may hold separators and newlines.
 _QUOTED = {"header": True, "quote": '"', "escape": '"'}
 _REJECT = "_rejected"
+# Stands for "no text" in the reader when '' is a value; never part of a text.
+_NO_TEXT = "\x00"
 
 
 def read_csv(
@@ -19,21 +21,25 @@ def read_csv(
     schema: T.StructType | None = None,
     sep: str = ",",
     multi_line: bool = True,
+    keep_empty: bool = False,
     **options,
 ) -> DataFrame:
     """Read CSV with a header. Give a schema: without one Spark reads the data twice.
 
+    Empty fields are NULL; with ``keep_empty`` a quoted empty field is ''.
     A file whose quoted fields may hold newlines cannot be split, so it is one
     task. For large inputs keep many files, or pass ``multi_line=False`` if no
     field holds a newline; then files are split like any other.
     """
     reader = spark.read.options(sep=sep, multiLine=multi_line, **_QUOTED).options(**options)
+    if keep_empty:
+        reader = reader.option("nullValue", _NO_TEXT)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "error", **options) -> None:
-    """Write CSV that ``read_csv`` reads back unchanged: NULL and '' stay apart."""
+    """Write CSV for ``read_csv``. NULL is an empty field, '' a quoted one."""
     (
         df.write.mode(mode)
         .options(sep=sep, emptyValue='""', nullValue="", **_QUOTED)

@@ -100,6 +100,16 @@ class Star:
     dimensions: tuple[Dimension, ...]
     fact: Dimension
 
+    def __post_init__(self) -> None:
+        for table in self.dimensions:
+            if table.references and not table.natural_key:
+                raise ValueError(f"{table.name} has sub-dimensions and so needs a natural key")
+        for table in (*self.dimensions, self.fact):
+            for ref in table.references:
+                target = self.table(ref.table)
+                if target.natural_key and target.key != ref.column:
+                    raise ValueError(f"{table.name}.{ref.column} must be named {target.key}")
+
     @cached_property
     def by_name(self) -> Mapping[str, Dimension]:
         return {t.name: t for t in (*self.dimensions, self.fact)}
@@ -126,12 +136,18 @@ class Star:
             visit(table, ())
         return order
 
+    def _foreign_key(self, ref: Reference) -> Column:
+        """A foreign key has the type of the key it refers to: surrogates are BIGINT."""
+        target = self.table(ref.table)
+        types = {c.name: c.type for c in target.attributes}
+        return Column(ref.column, types.get(target.key, "bigint"))
+
     def table_columns(self, name: str) -> tuple[Column, ...]:
         """Key, foreign keys, attributes: the columns as written."""
         table = self.table(name)
         attributes = {c.name: c for c in table.attributes}
         key = attributes.pop(table.key, Column(table.key, "bigint"))
-        fks = [attributes.pop(r.column, Column(r.column, "bigint")) for r in table.references]
+        fks = [attributes.pop(r.column, self._foreign_key(r)) for r in table.references]
         required = Column(key.name, key.type, key.max_len, nullable=False)
         return (required, *(f for f in fks if f.name != table.key), *attributes.values())
 
@@ -139,16 +155,23 @@ class Star:
         return struct_of(self.table_columns(name))
 
     def wide_attributes(self, name: str) -> list[str]:
-        """Wide-table columns that determine a row of ``name``, sub-dimensions included."""
-        table = self.table(name)
-        own = table.attribute_names
-        subs = [
-            c
-            for r in table.references
-            if not self.table(r.table).natural_key
-            for c in self.wide_attributes(r.table)
-        ]
-        return list(dict.fromkeys(own + subs))
+        """Wide-table columns that determine a row of ``name``.
+
+        Surrogate sub-dimensions count with their attributes, natural ones with
+        their key.
+        """
+        found = list(self.table(name).attribute_names)
+        for ref in self.table(name).references:
+            natural = self.table(ref.table).natural_key
+            found += [ref.column] if natural else self.wide_attributes(ref.table)
+        return list(dict.fromkeys(found))
+
+    def reachable_attributes(self, name: str) -> list[str]:
+        """Attributes of ``name`` and of everything it refers to, directly or not."""
+        found = list(self.table(name).attribute_names)
+        for ref in self.table(name).references:
+            found += self.reachable_attributes(ref.table)
+        return list(dict.fromkeys(found))
 
     @cached_property
     def wide_columns(self) -> tuple[Column, ...]:
