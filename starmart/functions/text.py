@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from starmart.operators.casting import to_type
+from starmart.operators.casting import number_text
 
 
 def replace_text(col: Column, *finds: str) -> Column:
@@ -24,12 +24,12 @@ def replace_text(col: Column, *finds: str) -> Column:
 
 def percent_fraction(col: Column, type_: str = "decimal(3,2)") -> Column:
     """``'97%'`` -> 0.97."""
-    return to_type(replace_text(col, "%").try_cast("double") / F.lit(100), type_)
+    return (number_text(replace_text(col, "%"), "double") / F.lit(100)).try_cast(type_)
 
 
 def money(col: Column, type_: str = "decimal(10,2)", strip: Sequence[str] = ("$", ",")) -> Column:
     """``'$1,200.00'`` -> 1200.00. ``strip`` lists the literals to remove first."""
-    return to_type(replace_text(col, *strip), type_)
+    return number_text(replace_text(col, *strip), type_)
 
 
 def to_date(col: Column) -> Column:
@@ -59,7 +59,7 @@ def when_contains(
 def number_and_description(col: Column, type_: str = "decimal(5,1)") -> tuple[Column, Column]:
     """``'1.5 shared baths'`` -> (1.5, 'shared baths'): split at the first blank."""
     parts = F.split(col, " ", 2)
-    return to_type(F.get(parts, F.lit(0)), type_), F.get(parts, F.lit(1))
+    return number_text(F.get(parts, F.lit(0)), type_), F.get(parts, F.lit(1))
 
 
 def flag(col: Column, match: str = "exact", null_as: int | None = 0) -> Column:

@@ -21,21 +21,45 @@ _INTEGRAL = {
 }
 
 
-def to_type(col: SparkColumn, type_: str | T.DataType) -> SparkColumn:
-    """Cast that gives NULL for values that do not fit, with ANSI mode on or off."""
-    return col.try_cast(type_)
+_DIGITS_POINT_DIGITS = r"^[+-]?\d+\.\d*$"
+
+
+def _may_be_number(text: SparkColumn) -> SparkColumn:
+    """First character is a digit, sign or point.
+
+    A failing cast raises and discards an exception per value, which costs far
+    more than this look at one character; texts such as 'N/A' never get there.
+    """
+    return F.ascii(text).between(ord("+"), ord("9"))
+
+
+def number_text(col: SparkColumn, type_: str | T.DataType) -> SparkColumn:
+    """Text to a decimal or floating number; NULL if it is none or does not fit."""
+    text = F.trim(col)
+    return F.when(_may_be_number(text), text.try_cast(type_))
+
+
+def integer_text(col: SparkColumn, type_: str | T.DataType) -> SparkColumn:
+    """Text to an integer; decimals are cut off, as in '4.0' from a float column."""
+    text = F.trim(col)
+    whole = F.substring_index(text, ".", 1)
+    return (
+        F.when(~_may_be_number(text), F.lit(None))
+        .when(F.instr(text, ".") == 0, text.try_cast(type_))
+        .when(text.rlike(_DIGITS_POINT_DIGITS), whole.try_cast(type_))
+    )
 
 
 def _cast(name: str, source: T.DataType, target: T.DataType) -> SparkColumn:
+    """NULL for values that do not fit, with ANSI mode on or off."""
     col = F.col(name)
     if source == target:
         return col
-    if isinstance(source, T.StringType) and target in _INTEGRAL:
-        # '4.0' is a count that passed through a float column upstream.
-        col = F.trim(col)
-        return F.coalesce(
-            col.try_cast(target), col.try_cast(T.DecimalType(38, 6)).try_cast(target)
-        )
+    if isinstance(source, T.StringType):
+        if target in _INTEGRAL:
+            return integer_text(col, target)
+        if isinstance(target, T.DecimalType):
+            return number_text(col, target)
     return col.try_cast(target)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,12 +65,15 @@ def build_star(
     key_kind: str = "hash",
     staged: bool = False,
     skew_over: int = SKEW_OVER_ROWS,
+    parallel_writes: int = 4,
 ) -> dict[str, DataFrame]:
     """Write every table of ``star`` in dependency order; return them as read back.
 
     ``clean`` is written once unless ``staged`` says that it already reads from
     files: each dimension then scans only its own columns. Dimensions are written
-    before the tables that refer to them, and those use the written keys.
+    before the tables that refer to them, and those use the written keys. Tables
+    that do not depend on one another are written by ``parallel_writes`` jobs at a
+    time, so that a small dimension does not leave the cluster idle.
     """
     spark = clean.sparkSession
     scratch = workspace(spark)
@@ -80,16 +84,17 @@ def build_star(
 
     tables: dict[str, DataFrame] = {}
     kinds: dict[str, str] = {}
-    for name in star.write_order:
+
+    def write(name: str) -> None:
         spec, schema = star.table(name), star.table_schema(name)
         if name == star.fact.name:
             rows = resolve_keys(wide, star, name, tables, kinds, skew_over)
         elif not spec.natural_key:
-            tables[name], kinds[name] = save_dim(
+            saved, kinds[name] = save_dim(
                 wide, name, spec.attribute_names, spec.key, key_kind, store
             )
-            require_schema(tables[name], schema)
-            continue
+            tables[name] = require_schema(saved, schema)
+            return
         elif all(kinds.get(r.table, "hash") == "hash" for r in spec.references):
             # Keys stand for their attributes, so distinct keys are enough.
             rows = resolve_keys(wide, star, name, tables, kinds).distinct()
@@ -99,7 +104,14 @@ def build_star(
             source = scratch.save(f"{name}_rows", distinct_rows(wide, attributes))
             rows = resolve_keys(source, star, name, tables, kinds, skew_over)
         tables[name] = store.save(name, require_schema(rows, schema))
-    return tables
+
+    waiting = list(star.write_order)
+    with ThreadPoolExecutor(max_workers=parallel_writes) as pool:
+        while waiting:
+            ready = [n for n in waiting if all(r.table in tables for r in star.table(n).references)]
+            list(pool.map(write, ready))
+            waiting = [n for n in waiting if n not in ready]
+    return {name: tables[name] for name in star.write_order}
 
 
 def denormalize(

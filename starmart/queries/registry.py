@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -19,7 +21,8 @@ def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
         key = name or fn.__name__
         if key in QUERIES:
             raise ValueError(f"query {key} is registered twice")
-        QUERIES[key], ORACLE[key] = fn, sql
+        QUERIES[key] = lambda spark, sf_dir: fn(tune(spark), sf_dir)
+        ORACLE[key] = sql
         return fn
 
     return register
