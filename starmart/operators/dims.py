@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,14 +57,24 @@ def save_dim(
     return saved, kind
 
 
-def frequent_rows(
-    df: DataFrame, cols: Sequence[str], share: float = 0.001, total: int | None = None
-) -> DataFrame:
-    """Tuples of ``cols`` that hold at least ``share`` of all rows.
+def frequent_tuples(
+    df: DataFrame, tuples: Mapping[str, Sequence[str]], share: float = 0.001
+) -> dict[str, list[int]]:
+    """Hashes (``hash_key``) of the tuples that hold ``share`` or more of all rows.
 
-    No more than ``1 / share`` tuples can do so, which bounds the result however
-    large ``df`` is. Counts are pre-aggregated per task before the shuffle.
+    Takes several sets of columns and finds all of them in one scan: a frequent-items
+    sketch per set, of fixed size, merged without moving the rows. At most
+    ``1 / share`` hashes per set come back, whatever the data size. The sketch
+    may err in its counts, which is harmless: the hashes only say how a
+    lookup distributes its rows, not what it finds.
     """
-    total = df.count() if total is None else total
-    counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") >= max(2, math.ceil(total * share))).drop("_rows")
+    if not tuples:
+        return {}
+    most = math.ceil(1 / share)
+    top = [
+        F.call_function("approx_top_k", hash_key(cols), F.lit(most), F.lit(16 * most)).alias(name)
+        for name, cols in tuples.items()
+    ]
+    found = df.agg(F.count(F.lit(1)).alias("_rows"), *top).first()
+    least = max(2, found["_rows"] * share)
+    return {name: [t["item"] for t in found[name] or [] if t["count"] >= least] for name in tuples}

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from starmart.operators.keys import has_duplicates, hash_key
 
-_SALTS = 1 << 20
+# Parts into which a hot group is split, and copies made of its dimension row.
+_PARTS = 256
 
 
 class FanOutError(ValueError):
@@ -35,7 +36,7 @@ def lookup(
     null_safe: bool = True,
     check_unique: bool = False,
     allow_fan_out: bool = False,
-    hot: DataFrame | None = None,
+    hot: Sequence[int] = (),
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add dimension columns ``values`` to ``df`` by matching ``cols``.
@@ -48,10 +49,10 @@ def lookup(
     ``check_unique`` first makes sure that ``cols`` identify a dimension row, since
     otherwise rows of ``df`` would multiply; ``allow_fan_out`` asks for just that.
 
-    ``hot`` names tuples of ``cols`` known to be frequent (see ``frequent_rows``).
-    Their dimension rows, few by construction, are broadcast; the rows they match
-    are then spread over all tasks of the remaining join by a hash of
-    ``spread_by``, so no task receives a whole hot group. No row is dropped.
+    ``hot`` holds hashes of tuples known to be frequent (see ``frequent_tuples``).
+    Rows with such a tuple are split into parts by a hash of ``spread_by``, and
+    their dimension rows, few by construction, get a copy for each part, so no
+    task receives a whole hot group. No row is dropped.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup joins are left or inner, not {how!r}")
@@ -66,65 +67,21 @@ def lookup(
     )
     found = [F.col(f"_v{i}").alias(v) for i, v in enumerate(values)]
 
-    if hot is None:
-        return _hashed_join(df, slim, cols, keys, null_safe, how).select(*df.columns, *found)
-
-    if not spread_by:
+    if hot and not spread_by:
         raise ValueError("hot lookups need spread_by: columns that vary within a hot group")
-    marked = slim.join(
-        F.broadcast(hot.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(cols)])),
-        _match(keys, [f"_h{i}" for i in range(len(cols))], True),
-        "left_semi",
-    )
-    first = df.join(
-        F.broadcast(marked.withColumn("_hot", F.lit(True))),
-        _match(cols, keys, null_safe),
-        "left",
-    )
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    settled = is_hot
-    if not null_safe:  # a NULL never matches: those rows need no common task either
-        for c in cols:
-            settled = settled | F.col(c).isNull()
-    first = first.select(
-        *df.columns,
-        *[F.col(f"_v{i}").alias(f"_f{i}") for i in range(len(values))],
-        is_hot.alias("_is_hot"),
-        F.when(settled, F.pmod(F.xxhash64(*spread_by), F.lit(_SALTS)) + 1)
-        .otherwise(F.lit(0))
-        .alias("_salt"),
-    )
-    # A value the optimizer cannot fold away: the salt must stay a join key.
-    cold = slim.withColumn("_zero", F.pmod(F.xxhash64(*keys), F.lit(1)))
-    second = _hashed_join(
-        first, cold, cols, keys, null_safe, "left", F.col("_salt") == F.col("_zero")
-    )
-    if how == "inner":
-        second = second.where(F.col("_is_hot") | F.col("_zero").isNotNull())
-    picked = [
-        F.when(F.col("_is_hot"), F.col(f"_f{i}")).otherwise(F.col(f"_v{i}")).alias(v)
-        for i, v in enumerate(values)
-    ]
-    return second.select(*df.columns, *picked)
-
-
-def _hashed_join(
-    df: DataFrame,
-    slim: DataFrame,
-    cols: Sequence[str],
-    keys: Sequence[str],
-    null_safe: bool,
-    how: str,
-    also: Column | None = None,
-) -> DataFrame:
     condition = _match(cols, keys, null_safe)
-    if len(cols) > 1:
-        df = df.withColumn("_lh", hash_key(cols))
-        slim = slim.withColumn("_rh", hash_key(keys))
+    left, right = df, slim
+    if len(cols) > 1 or hot:
+        left = left.withColumn("_lh", hash_key(cols))
+        right = right.withColumn("_rh", hash_key(keys))
         condition = (F.col("_lh") == F.col("_rh")) & condition
-    if also is not None:
-        condition = also & condition
-    return df.join(slim, condition, how)
+    if hot:
+        part = F.pmod(F.xxhash64(*spread_by), F.lit(_PARTS)).cast("int")
+        parts = F.sequence(F.lit(0), F.when(F.col("_rh").isin(*hot), _PARTS - 1).otherwise(0))
+        left = left.withColumn("_lp", F.when(F.col("_lh").isin(*hot), part).otherwise(0))
+        right = right.withColumn("_rp", F.explode(parts))
+        condition = (F.col("_lp") == F.col("_rp")) & condition
+    return left.join(right, condition, how).select(*df.columns, *found)
 
 
 def fan_out(df: DataFrame, dim: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.checks import require_schema
-from starmart.operators.dims import distinct_rows, frequent_rows, save_dim
+from starmart.operators.dims import distinct_rows, frequent_tuples, save_dim
 from starmart.operators.keys import hash_key
 from starmart.operators.lookup import lookup
 from starmart.sources.store import Store, workspace
 from starmart.spec import Star
 
-# Dimensions with more rows than this get hot groups split off in their lookups.
-# Smaller ones are broadcast by Spark, which has no skew to begin with.
-SKEW_OVER_ROWS = 100_000
+# Lookups in dimensions with more rows than this have their hot groups split.
+# Smaller ones are broadcast by Spark if their size allows, which knows no skew,
+# or else left to the skew handling of adaptive execution.
+SKEW_OVER_ROWS = 1_000_000
 
 
 def resolve_keys(
@@ -33,8 +34,8 @@ def resolve_keys(
     A key that is a hash of its attributes is computed in the projection: no join
     and no shuffle. Other keys are looked up on the full attribute set, so a
     lookup never multiplies rows, and attributes nobody needs any more are
-    dropped before the next one. ``df`` should read from files: it is also
-    counted by attribute tuple to find hot groups of large dimensions.
+    dropped before the next one. ``df`` should read from files: it is scanned a
+    second time to find the hot groups of large dimensions.
     """
     spec = star.table(table)
     computed, looked_up = [], []
@@ -48,11 +49,14 @@ def resolve_keys(
             looked_up.append((ref.column, ref.table, attributes))
 
     written = [c.name for c in star.table_columns(table)]
+    large = {c: a for c, name, a in looked_up if tables[name].count() > skew_over}
+    hot = frequent_tuples(df, large)
     rows = df.select("*", *computed)
     for i, (column, name, attributes) in enumerate(looked_up):
         dim = tables[name].withColumnRenamed(star.table(name).key, column)
-        hot = frequent_rows(df, attributes) if dim.count() > skew_over else None
-        rows = lookup(rows, dim, attributes, column, hot=hot, spread_by=[spec.key])
+        rows = lookup(
+            rows, dim, attributes, column, hot=hot.get(column, ()), spread_by=[spec.key]
+        )
         needed = {*written, *[a for _, _, later in looked_up[i + 1 :] for a in later]}
         rows = rows.select(*[c for c in rows.columns if c in needed])
     return rows.select(*written)
@@ -129,6 +133,8 @@ def denormalize(
     spec = star.table(table or star.fact.name)
     start = tables[spec.name]
     df = start
+    large = [r.column for r in spec.references if tables[r.table].count() > skew_over]
+    hot = frequent_tuples(start, {c: [c] for c in large})
     wide = list(dict.fromkeys([spec.key, *spec.attribute_names]))
     for ref in spec.references:
         target = star.table(ref.table)
@@ -141,7 +147,7 @@ def denormalize(
             [ref.column],
             added,
             null_safe=False,
-            hot=frequent_rows(start, [ref.column]) if dim.count() > skew_over else None,
+            hot=hot.get(ref.column, ()),
             spread_by=[spec.key],
         )
         wide += added

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.dims import distinct_rows, extract_dim, frequent_rows
+from starmart.operators.dims import distinct_rows, extract_dim, frequent_tuples
 from starmart.operators.lookup import fan_out, lookup
 from starmart.queries import oracle as O
 from starmart.queries.dims import STAY
@@ -36,10 +36,10 @@ def dim_lookup_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_STAY_ID)
 def dim_lookup_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same lookup with frequent tuples broadcast and their rows spread."""
+    """The same lookup with the rows of frequent tuples split into parts."""
     rows = messy(spark, sf_dir)
     dim = extract_dim(rows, STAY, "stay_id")
-    hot = frequent_rows(rows, STAY, share=0.0005)
+    hot = frequent_tuples(rows, {"stay": STAY})["stay"]
     return lookup(rows, dim, STAY, "stay_id", hot=hot, spread_by=["id"]).select("id", "stay_id")
 
 
