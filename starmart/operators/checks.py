@@ -125,16 +125,20 @@ def not_in_list(df: DataFrame, col: str, allowed: DataFrame, allowed_col: str) -
 
 def row_conservation(source: DataFrame, fact: DataFrame, key: str) -> DataFrame:
     """One row: rows in, rows out, distinct keys out, and whether they agree."""
-    rows = source.agg(F.count(F.lit(1)).alias("source_rows"))
+    none = F.lit(0).cast("bigint")
+    rows = source.agg(F.count(F.lit(1)).alias("source_rows")).select(
+        "source_rows", none.alias("fact_rows"), none.alias("fact_keys")
+    )
     per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    facts = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("fact_rows"), F.count(key).alias("fact_keys")
+    facts = per_key.agg(F.sum("n").alias("n"), F.count(key).alias("fact_keys")).select(
+        none.alias("source_rows"), F.coalesce("n", none).alias("fact_rows"), "fact_keys"
     )
+    names = ("source_rows", "fact_rows", "fact_keys")
+    both = rows.union(facts).agg(*[F.sum(n).alias(n) for n in names])
     same = (F.col("source_rows") == F.col("fact_rows")) & (
         F.col("fact_rows") == F.col("fact_keys")
     )
-    # Both sides are global aggregates of exactly one row.
-    return rows.join(facts, F.lit(True)).withColumn("conserved", same)
+    return both.withColumn("conserved", same)
 
 
 def columns_equal(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:

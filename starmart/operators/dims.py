@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from starmart.operators.keys import dense_key, has_duplicates, hash_key, monotonic_key
 from starmart.sources.store import Store, workspace
 
+# Sketches are first merged within this many groups of tasks.
+_SKETCH_GROUPS = 128
+
 KEY_KINDS = ("hash", "dense", "monotonic")
 
 
@@ -53,7 +56,7 @@ def save_dim(
     saved = store.save(name, extract_dim(df, cols, key, kind))
     if kind == "hash" and has_duplicates(saved, key):
         renumbered = dense_key(saved.drop(key), key, cols, workspace(df.sparkSession))
-        return store.save(name, renumbered), "dense"
+        return store.save(name, renumbered, replace=True), "dense"
     return saved, kind
 
 
@@ -63,18 +66,32 @@ def frequent_tuples(
     """Hashes (``hash_key``) of the tuples that hold ``share`` or more of all rows.
 
     Takes several sets of columns and finds all of them in one scan: a frequent-items
-    sketch per set, of fixed size, merged without moving the rows. At most
-    ``1 / share`` hashes per set come back, whatever the data size. The sketch
-    may err in its counts, which is harmless: the hashes only say how a
-    lookup distributes its rows, not what it finds.
+    sketch of fixed size per set and task, merged in two steps so that no single
+    task merges the sketches of all others. At most ``1 / share`` hashes per set
+    come back, whatever the data size. A sketch may err in its counts, which is
+    harmless: the hashes only say how a lookup distributes its rows, not what it
+    finds.
     """
     if not tuples:
         return {}
     most = math.ceil(1 / share)
-    top = [
-        F.call_function("approx_top_k", hash_key(cols), F.lit(most), F.lit(16 * most)).alias(name)
+    size = F.lit(4 * most)
+    group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group")
+    sketches = [
+        F.call_function("approx_top_k_accumulate", hash_key(cols), size).alias(name)
         for name, cols in tuples.items()
     ]
-    found = df.agg(F.count(F.lit(1)).alias("_rows"), *top).first()
+    merged = [F.call_function("approx_top_k_combine", F.col(n), size).alias(n) for n in tuples]
+    top = [F.call_function("approx_top_k_estimate", F.col(n), F.lit(most)).alias(n) for n in tuples]
+    found = (
+        df.groupBy(group)
+        .agg(F.count(F.lit(1)).alias("_rows"), *sketches)
+        .groupBy(F.lit(0).alias("_all"))
+        .agg(F.sum("_rows").alias("_rows"), *merged)
+        .select("_rows", *top)
+        .first()
+    )
+    if found is None:
+        return {name: [] for name in tuples}
     least = max(2, found["_rows"] * share)
-    return {name: [t["item"] for t in found[name] or [] if t["count"] >= least] for name in tuples}
+    return {name: [t["item"] for t in found[name] if t["count"] >= least] for name in tuples}

@@ -7,8 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.dims import frequent_tuples
 from starmart.operators.keys import has_duplicates, hash_key
 
+# Lookups in dimensions with more rows than this have their hot groups split.
+# Smaller ones are broadcast by Spark if their size allows, which knows no skew,
+# or else left to the skew handling of adaptive execution.
+SKEW_OVER_ROWS = 1_000_000
+
 # Parts into which a hot group is split, and copies made of its dimension row.
 _PARTS = 256
 
@@ -84,6 +90,23 @@ def lookup(
     return left.join(right, condition, how).select(*df.columns, *found)
 
 
+def lookup_large(
+    df: DataFrame,
+    dim: DataFrame,
+    cols: Sequence[str],
+    values: Sequence[str] | str,
+    spread_by: Sequence[str],
+    skew_over: int = SKEW_OVER_ROWS,
+    **options,
+) -> DataFrame:
+    """``lookup`` that finds the hot groups itself if the dimension is large.
+
+    ``dim`` should read from files, where counting it opens footers only.
+    """
+    hot = frequent_tuples(df, {"hot": cols})["hot"] if dim.count() > skew_over else ()
+    return lookup(df, dim, cols, values, hot=hot, spread_by=spread_by, **options)
+
+
 def fan_out(df: DataFrame, dim: DataFrame, cols: Sequence[str]) -> DataFrame:
     """What joining on ``cols`` would yield, counted without producing the rows.
 

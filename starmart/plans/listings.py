@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
@@ -249,9 +249,31 @@ LISTINGS_STAR = Star(
     ),
 )
 
+# The shorter column lists by which the published rules find keys.
+PARTIAL_KEYS = {
+    "property": (
+        "latitude",
+        "longitude",
+        "daily_price",
+        "beds",
+        "bathroom_desc",
+        "accommodates",
+    ),
+    "scrapings": ("last_scraped", "source"),
+    "neighbourhoods": ("neighbourhood", "neighbourhood_cleansed"),
+}
+
 RAW_SCHEMA = struct_of(RAW_COLUMNS)
 
 
+def with_partial_keys(star: Star, keys: Mapping[str, Sequence[str]]) -> Star:
+    """The same star, with the fact's keys into the named tables found by fewer columns."""
+    references = tuple(
+        replace(r, on=tuple(keys.get(r.table, ()))) for r in star.fact.references
+    )
+    return replace(star, fact=replace(star.fact, references=references))
+
+
 @dataclass(frozen=True)
 class Rules:
     """How texts are read. The defaults are the corrected rules."""
@@ -323,7 +345,11 @@ def clean_listings(raw: DataFrame, rules: Rules = CORRECTED, fills=None) -> Data
 
 
 def load_listings(
-    raw: DataFrame, store: Store | None = None, rules: Rules = CORRECTED, **options
+    raw: DataFrame,
+    store: Store | None = None,
+    rules: Rules = CORRECTED,
+    star: Star = LISTINGS_STAR,
+    **options,
 ) -> dict[str, DataFrame]:
     """Source rows -> ten written tables, read back."""
-    return build_star(clean_listings(raw, rules), LISTINGS_STAR, store, **options)
+    return build_star(clean_listings(raw, rules), star, store, **options)

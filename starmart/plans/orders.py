@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.lookup import lookup_large
 from starmart.spec import Dimension, Reference, Star, columns
 
 ORDERS_STAR = Star(
@@ -42,12 +43,20 @@ def wide_orders(
 ) -> DataFrame:
     """The wide table: every order with its customer, nation and region.
 
-    Nation and region are broadcast by Spark from their sizes; the customer side
-    is chosen at run time.
+    Nation and region are broadcast by Spark from their sizes. A customer may have
+    any share of the orders.
     """
     place = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    buyer = customer.join(place, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return orders.join(buyer, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+    buyer = ["c_name", "c_acctbal", "c_mktsegment", "c_nationkey"]
+    sold = lookup_large(
+        orders,
+        customer.withColumnRenamed("c_custkey", "o_custkey"),
+        ["o_custkey"],
+        buyer,
+        spread_by=["o_orderkey"],
+        null_safe=False,
+    )
+    return sold.join(place, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         "o_orderkey",
         F.col("o_orderdate").cast("date").alias("o_orderdate"),
         F.col("o_totalprice").cast("decimal(15,2)").alias("o_totalprice"),

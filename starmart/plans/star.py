@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,15 +13,10 @@ from pyspark.sql import functions as F
 from starmart.operators.checks import require_schema
 from starmart.operators.dims import distinct_rows, frequent_tuples, save_dim
 from starmart.operators.keys import hash_key
-from starmart.operators.lookup import lookup
+from starmart.operators.lookup import SKEW_OVER_ROWS, lookup
 from starmart.sources.store import Store, workspace
 from starmart.spec import Star
 
-# Lookups in dimensions with more rows than this have their hot groups split.
-# Smaller ones are broadcast by Spark if their size allows, which knows no skew,
-# or else left to the skew handling of adaptive execution.
-SKEW_OVER_ROWS = 1_000_000
-
 
 def resolve_keys(
     df: DataFrame,
@@ -28,13 +25,17 @@ def resolve_keys(
     tables: Mapping[str, DataFrame],
     kinds: Mapping[str, str],
     skew_over: int = SKEW_OVER_ROWS,
+    null_safe: bool = True,
+    allow_fan_out: bool = False,
 ) -> DataFrame:
     """Turn wide rows into rows of ``table``: its key, foreign keys, attributes.
 
     A key that is a hash of its attributes is computed in the projection: no join
     and no shuffle. Other keys are looked up on the full attribute set, so a
     lookup never multiplies rows, and attributes nobody needs any more are
-    dropped before the next one. ``df`` should read from files: it is scanned a
+    dropped before the next one. A reference that names fewer columns (``on``) is
+    first tested to identify its rows, unless ``allow_fan_out``. Without
+    ``null_safe`` rows with a NULL among the columns get no key. ``df`` should read from files: it is scanned a
     second time to find the hot groups of large dimensions.
     """
     spec = star.table(table)
@@ -42,22 +43,33 @@ def resolve_keys(
     for ref in spec.references:
         if star.table(ref.table).natural_key:
             continue
-        attributes = star.wide_attributes(ref.table)
-        if kinds[ref.table] == "hash":
-            computed.append(hash_key(attributes).alias(ref.column))
+        attributes = list(ref.on or star.wide_attributes(ref.table))
+        if kinds[ref.table] == "hash" and not ref.on:
+            key = hash_key(attributes)
+            if not null_safe:
+                key = F.when(reduce(and_, [F.col(a).isNotNull() for a in attributes]), key)
+            computed.append(key.alias(ref.column))
         else:
-            looked_up.append((ref.column, ref.table, attributes))
+            looked_up.append((ref, attributes))
 
     written = [c.name for c in star.table_columns(table)]
-    large = {c: a for c, name, a in looked_up if tables[name].count() > skew_over}
+    large = {r.column: a for r, a in looked_up if tables[r.table].count() > skew_over}
     hot = frequent_tuples(df, large)
     rows = df.select("*", *computed)
-    for i, (column, name, attributes) in enumerate(looked_up):
-        dim = tables[name].withColumnRenamed(star.table(name).key, column)
+    for i, (ref, attributes) in enumerate(looked_up):
+        dim = tables[ref.table].withColumnRenamed(star.table(ref.table).key, ref.column)
         rows = lookup(
-            rows, dim, attributes, column, hot=hot.get(column, ()), spread_by=[spec.key]
+            rows,
+            dim,
+            attributes,
+            ref.column,
+            null_safe=null_safe,
+            check_unique=bool(ref.on),
+            allow_fan_out=allow_fan_out,
+            hot=hot.get(ref.column, ()),
+            spread_by=[spec.key],
         )
-        needed = {*written, *[a for _, _, later in looked_up[i + 1 :] for a in later]}
+        needed = {*written, *[a for _, later in looked_up[i + 1 :] for a in later]}
         rows = rows.select(*[c for c in rows.columns if c in needed])
     return rows.select(*written)
 
@@ -70,6 +82,8 @@ def build_star(
     staged: bool = False,
     skew_over: int = SKEW_OVER_ROWS,
     parallel_writes: int = 4,
+    null_safe: bool = True,
+    allow_fan_out: bool = False,
 ) -> dict[str, DataFrame]:
     """Write every table of ``star`` in dependency order; return them as read back.
 
@@ -77,7 +91,8 @@ def build_star(
     files: each dimension then scans only its own columns. Dimensions are written
     before the tables that refer to them, and those use the written keys. Tables
     that do not depend on one another are written by ``parallel_writes`` jobs at a
-    time, so that a small dimension does not leave the cluster idle.
+    time, so that a small dimension does not leave the cluster idle. ``null_safe``
+    and ``allow_fan_out`` are explained at ``resolve_keys``.
     """
     spark = clean.sparkSession
     scratch = workspace(spark)
@@ -88,25 +103,26 @@ def build_star(
 
     tables: dict[str, DataFrame] = {}
     kinds: dict[str, str] = {}
+    matching = {"skew_over": skew_over, "null_safe": null_safe, "allow_fan_out": allow_fan_out}
 
     def write(name: str) -> None:
         spec, schema = star.table(name), star.table_schema(name)
         if name == star.fact.name:
-            rows = resolve_keys(wide, star, name, tables, kinds, skew_over)
+            rows = resolve_keys(wide, star, name, tables, kinds, **matching)
         elif not spec.natural_key:
             saved, kinds[name] = save_dim(
                 wide, name, spec.attribute_names, spec.key, key_kind, store
             )
             tables[name] = require_schema(saved, schema)
             return
-        elif all(kinds.get(r.table, "hash") == "hash" for r in spec.references):
+        elif all(kinds.get(r.table, "hash") == "hash" and not r.on for r in spec.references):
             # Keys stand for their attributes, so distinct keys are enough.
-            rows = resolve_keys(wide, star, name, tables, kinds).distinct()
+            rows = resolve_keys(wide, star, name, tables, kinds, **matching).distinct()
         else:
             # Shrink to distinct rows before the joins, not after.
             attributes = list(dict.fromkeys([spec.key, *star.wide_attributes(name)]))
             source = scratch.save(f"{name}_rows", distinct_rows(wide, attributes))
-            rows = resolve_keys(source, star, name, tables, kinds, skew_over)
+            rows = resolve_keys(source, star, name, tables, kinds, **matching)
         tables[name] = store.save(name, require_schema(rows, schema))
 
     waiting = list(star.write_order)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.dims import distinct_rows, extract_dim, frequent_tuples
-from starmart.operators.lookup import fan_out, lookup
+from starmart.operators.lookup import fan_out, lookup, lookup_large
 from starmart.queries import oracle as O
 from starmart.queries.dims import STAY
 from starmart.queries.inputs import MESSY_SQL, messy, table
@@ -20,7 +20,14 @@ from starmart.queries.registry import query
 def join_left_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customer = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
-    return lookup(orders, customer, ["o_custkey"], ["c_name", "c_mktsegment"], null_safe=False)
+    return lookup_large(
+        orders,
+        customer,
+        ["o_custkey"],
+        ["c_name", "c_mktsegment"],
+        spread_by=["o_orderkey"],
+        null_safe=False,
+    )
 
 
 _STAY_ID = f"SELECT id, {O.rank_key(STAY)} AS stay_id FROM ({MESSY_SQL}) m"

@@ -17,9 +17,11 @@ from starmart.plans.listings import (
     FLAG_COLUMNS,
     LISTINGS_STAR,
     NEIGHBOURHOODS,
+    PARTIAL_KEYS,
     RAW_COLUMNS,
     clean_listings,
     load_listings,
+    with_partial_keys,
 )
 from starmart.plans.star import denormalize
 from starmart.queries import oracle as O
@@ -131,6 +133,37 @@ def listings_fact_split_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_listings(raw_listings(spark, sf_dir), key_kind="dense", skew_over=0)["listings"]
 
 
+_PARTIAL = {k: PARTIAL_KEYS[k] for k in ("property", "scrapings")}
+_PARTIAL_STAR = with_partial_keys(LISTINGS_STAR, _PARTIAL)
+
+
+def _partial_sql() -> str:
+    """Ranks over all attributes, but only where no compared column is NULL."""
+    columns = []
+    for c in _PARTIAL_STAR.table_columns("listings"):
+        ref = {r.column: r for r in _PARTIAL_STAR.fact.references}.get(c.name)
+        if ref is None or ref.table == "host":
+            columns.append(c.name)
+            continue
+        attributes = _PARTIAL_STAR.wide_attributes(ref.table)
+        present = " AND ".join(f"{a} IS NOT NULL" for a in ref.on or attributes)
+        columns.append(f"CASE WHEN {present} THEN {O.rank_key(attributes)} END AS {c.name}")
+    return f"SELECT {', '.join(columns)} FROM ({clean_sql(published=True)}) c"
+
+
+@query(_partial_sql())
+def listings_fact_as_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published rules: keys by fewer columns, which are tested first, and NULL never
+    matching, so that rows with a NULL among those columns have no key."""
+    return load_listings(
+        raw_listings(spark, sf_dir),
+        rules=AS_PUBLISHED,
+        star=_PARTIAL_STAR,
+        key_kind="dense",
+        null_safe=False,
+    )["listings"]
+
+
 @query(CLEAN_SQL)
 def listings_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten tables with hash keys, joined back: the clean wide table again."""

@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Store(Protocol):
-    def save(self, name: str, df: DataFrame) -> DataFrame: ...
+    def save(self, name: str, df: DataFrame, replace: bool = False) -> DataFrame:
+        """Write ``df``; with ``replace`` in place of what this load wrote before."""
 
-    def load(self, spark: SparkSession, name: str) -> DataFrame: ...
+    def load(self, spark: SparkSession, name: str) -> DataFrame:
+        """The table as written."""
 
 
 @dataclass
@@ -31,8 +33,8 @@ class FolderStore:
     def path(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
 
-    def save(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode(self.mode).parquet(self.path(name))
+    def save(self, name: str, df: DataFrame, replace: bool = False) -> DataFrame:
+        df.write.mode("overwrite" if replace else self.mode).parquet(self.path(name))
         # The schema is known: no footer has to be opened to find it again.
         return df.sparkSession.read.schema(df.schema).parquet(self.path(name))
 
@@ -42,7 +44,8 @@ class FolderStore:
 
 @dataclass
 class TableStore:
-    """Catalog tables ``database.name``; existing (declared) tables are inserted into."""
+    """Catalog tables ``database.name``. A table that exists keeps its declaration
+    and has its rows replaced."""
 
     database: str
     format: str = "parquet"
@@ -51,7 +54,7 @@ class TableStore:
     def name(self, name: str) -> str:
         return f"{self.database}.{name}"
 
-    def save(self, name: str, df: DataFrame) -> DataFrame:
+    def save(self, name: str, df: DataFrame, replace: bool = False) -> DataFrame:
         spark = df.sparkSession
         full = self.name(name)
         if spark.catalog.tableExists(full):

@@ -67,10 +67,14 @@ def struct_of(cols: Iterable[Column]) -> T.StructType:
 
 @dataclass(frozen=True)
 class Reference:
-    """Foreign key ``column`` of the owning table, pointing at ``table``'s key."""
+    """Foreign key ``column`` of the owning table, pointing at ``table``'s key.
+
+    The key is found by all of ``table``'s attributes, or by those in ``on``.
+    """
 
     column: str
     table: str
+    on: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)

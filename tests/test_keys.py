@@ -55,17 +55,11 @@ def test_unknown_kind(source):
 
 def test_colliding_hashes_become_dense(spark, source, monkeypatch):
     monkeypatch.setattr(dims, "hash_key", lambda cols: F.col(cols[0]).isNull().cast("bigint"))
-    saved, kind = save_dim(source, "d", ["a", "b"], "k", "hash", _overwriting(spark))
+    saved, kind = save_dim(source, "d", ["a", "b"], "k", "hash", workspace(spark))
     assert kind == "dense"
     assert sorted(tuple(r) for r in saved.collect()) == expected(source)
 
 
-def _overwriting(spark):
-    store = workspace(spark)
-    store.mode = "overwrite"
-    return store
-
-
 def test_empty_source(spark):
     empty = spark.createDataFrame([], "a int, b string")
     for kind in ("hash", "dense", "monotonic"):

@@ -8,13 +8,16 @@ from conftest import rows
 from listing_rows import SECOND_HOST_VERSION, VARIATIONS, raw_rows
 from starmart.operators.checks import check_star, not_in_list, row_conservation
 from starmart.operators.casting import cast_rejects
+from starmart.operators.lookup import FanOutError
 from starmart.plans.listings import (
     AS_PUBLISHED,
     FILLS,
     LISTINGS_STAR,
     NEIGHBOURHOODS,
+    PARTIAL_KEYS,
     clean_listings,
     load_listings,
+    with_partial_keys,
 )
 from starmart.plans.star import build_star, denormalize
 from starmart.spec import columns
@@ -101,6 +104,25 @@ def test_no_fan_out_and_no_orphans(spark):
     assert len({r.host_id for r in fact.values()}) == tables["host"].count()
 
 
+def test_partial_keys(spark):
+    """By fewer columns the second room type and overview would double rows."""
+    star = with_partial_keys(LISTINGS_STAR, PARTIAL_KEYS)
+    raw = raw_rows(spark)
+    with pytest.raises(FanOutError):
+        load_listings(raw, star=star)
+    many = load_listings(raw, star=star, allow_fan_out=True)["listings"]
+    assert many.count() > raw.count()
+    with pytest.raises(FanOutError):
+        load_listings(raw, star=star, key_kind="dense")
+    fine = with_partial_keys(LISTINGS_STAR, {"scrapings": PARTIAL_KEYS["scrapings"]})
+    for kind in ("hash", "dense"):
+        fact = load_listings(raw, star=fine, key_kind=kind, null_safe=False)["listings"]
+        got = {r.listing_id: r for r in fact.collect()}
+        assert len(got) == fact.count() == len(VARIATIONS)
+        assert got[1].scraping_id is not None
+        assert got[11].rev_diag_id is None and got[12].property_id is None
+
+
 def test_two_versions_of_a_host(spark):
     raw = raw_rows(spark, VARIATIONS, SECOND_HOST_VERSION)
     tables = load_listings(raw)
