@@ -45,17 +45,25 @@ def extract_dim(
 
 
 def save_dim(
-    df: DataFrame, name: str, cols: Sequence[str], key: str, kind: str, store: Store
+    df: DataFrame,
+    name: str,
+    cols: Sequence[str],
+    key: str,
+    kind: str,
+    store: Store,
+    scratch: Store | None = None,
 ) -> tuple[DataFrame, str]:
     """Write a dimension and return it with the key kind it ended up with.
 
     Hash keys are tested for collisions on the written table. If two rows share
     one (to be expected beyond some 10^9 rows), the dimension is numbered densely
-    instead, starting from the rows that are already distinct.
+    instead, starting from the rows that are already distinct. ``scratch`` takes
+    intermediate tables, which nothing reads once this returns.
     """
-    saved = store.save(name, extract_dim(df, cols, key, kind))
+    scratch = scratch or workspace(df.sparkSession)
+    saved = store.save(name, extract_dim(df, cols, key, kind, scratch))
     if kind == "hash" and has_duplicates(saved, key):
-        renumbered = dense_key(saved.drop(key), key, cols, workspace(df.sparkSession))
+        renumbered = dense_key(saved.drop(key), key, cols, scratch)
         return store.save(name, renumbered, replace=True), "dense"
     return saved, kind
 

@@ -111,7 +111,7 @@ def build_star(
             rows = resolve_keys(wide, star, name, tables, kinds, **matching)
         elif not spec.natural_key:
             saved, kinds[name] = save_dim(
-                wide, name, spec.attribute_names, spec.key, key_kind, store
+                wide, name, spec.attribute_names, spec.key, key_kind, store, scratch
             )
             tables[name] = require_schema(saved, schema)
             return
@@ -126,11 +126,16 @@ def build_star(
         tables[name] = store.save(name, require_schema(rows, schema))
 
     waiting = list(star.write_order)
-    with ThreadPoolExecutor(max_workers=parallel_writes) as pool:
-        while waiting:
-            ready = [n for n in waiting if all(r.table in tables for r in star.table(n).references)]
-            list(pool.map(write, ready))
-            waiting = [n for n in waiting if n not in ready]
+    try:
+        with ThreadPoolExecutor(max_workers=parallel_writes) as pool:
+            while waiting:
+                ready = [
+                    n for n in waiting if all(r.table in tables for r in star.table(n).references)
+                ]
+                list(pool.map(write, ready))
+                waiting = [n for n in waiting if n not in ready]
+    finally:
+        scratch.drop(spark)  # the written tables do not depend on it
     return {name: tables[name] for name in star.write_order}
 
 

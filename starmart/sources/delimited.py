@@ -78,9 +78,12 @@ def load_delimited(
         **extra,
         **options,
     )
-    staged = workspace(spark).save(name, parsed)
+    scratch = workspace(spark)
+    staged = scratch.save(name, parsed)
     good = staged.where(F.col(_REJECT).isNull()).drop(_REJECT)
     bad = staged.where(F.col(_REJECT).isNotNull()).select(F.col(_REJECT).alias("line"))
-    return store.save(name, good), store.save(f"{name}_rejected", bad)
+    loaded = store.save(name, good), store.save(f"{name}_rejected", bad)
+    scratch.drop(spark)
+    return loaded
 
 

@@ -41,6 +41,11 @@ class FolderStore:
     def load(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.path(name))
 
+    def drop(self, spark: SparkSession) -> None:
+        """Delete the folder with all its tables."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 @dataclass
 class TableStore:

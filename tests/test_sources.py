@@ -100,6 +100,14 @@ def test_peek(spark):
     assert rows(catalog.peek(spark.range(10), 2, "id")) == [(0,), (1,)]
 
 
+def test_load_leaves_nothing_in_the_shared_folder(spark, tmp_path):
+    folder = os.path.join(shared_dir(spark).removeprefix("file:"), "starmart")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    for kind in ("hash", "dense", "monotonic"):
+        load_listings(raw_rows(spark), FolderStore(str(tmp_path / kind)), key_kind=kind)
+    assert set(os.listdir(folder)) == before
+
+
 def test_workspace_is_in_the_shared_folder(spark):
     store = workspace(spark)
     assert store.base.startswith(shared_dir(spark).rstrip("/"))
