@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,14 +42,26 @@ def _as_text(field: T.StructField) -> Column:
     return F.when(F.length(col) > _DIGEST_OVER, digest).otherwise(col)
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """``(column_name, type, n_rows, n_non_null, n_distinct)`` per column, exact.
+def profile(
+    df: DataFrame, cols: Sequence[str] | None = None, error: float | None = None
+) -> DataFrame:
+    """``(column_name, type, n_rows, n_non_null, n_distinct)`` per column.
 
-    One scan: each row becomes (column, value) pairs, which collapse within each
+    Exact unless ``error`` allows a relative standard deviation of ``n_distinct``;
+    then one aggregate of fixed-size sketches does and no value is shuffled.
+
+    Exact, in one scan: each row becomes (column, value) pairs, which collapse within each
     task before they are shuffled by pair; the second aggregate sees one row per
     distinct value and keeps a hot value on no task of its own.
     """
     fields = [f for f in df.schema if cols is None or f.name in cols]
+    if error is not None:
+        return _column_rows(
+            df,
+            fields,
+            n_non_null=lambda f: F.count(F.col(f.name)),
+            n_distinct=lambda f: F.approx_count_distinct(_as_text(f), error),
+        )
     pairs = F.array(
         *[
             F.struct(F.lit(i).alias("i"), _as_text(f).alias("value"))
@@ -76,18 +88,31 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:
-    """``(column_name, type, n_rows, n_non_null)`` from one aggregate row, no shuffle of values."""
-    counts = [F.count(F.col(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]
+    """``(column_name, type, n_rows, n_non_null)`` per column, no value shuffled."""
+    return _column_rows(df, df.schema.fields, n_non_null=lambda f: F.count(F.col(f.name)))
+
+
+def _column_rows(
+    df: DataFrame,
+    fields: Sequence[T.StructField],
+    **measures: Callable[[T.StructField], Column],
+) -> DataFrame:
+    """One aggregate row of measures per column, turned into one row per column."""
+    aggregates = [
+        measure(f).alias(f"{name}_{i}")
+        for i, f in enumerate(fields)
+        for name, measure in measures.items()
+    ]
     rows = [
         F.struct(
             F.lit(f.name).alias("column_name"),
             F.lit(f.dataType.simpleString()).alias("type"),
             F.col("n").alias("n_rows"),
-            F.col(f"c{i}").alias("n_non_null"),
+            *[F.col(f"{name}_{i}").alias(name) for name in measures],
         )
-        for i, f in enumerate(df.schema)
+        for i, f in enumerate(fields)
     ]
-    return df.agg(F.count(F.lit(1)).alias("n"), *counts).select(F.inline(F.array(*rows)))
+    return df.agg(F.count(F.lit(1)).alias("n"), *aggregates).select(F.inline(F.array(*rows)))
 
 
 def candidate_keys(df: DataFrame, *subsets: Sequence[str]) -> DataFrame:

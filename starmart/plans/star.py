@@ -53,8 +53,11 @@ def resolve_keys(
             looked_up.append((ref, attributes))
 
     written = [c.name for c in star.table_columns(table)]
-    large = {r.column: a for r, a in looked_up if tables[r.table].count() > skew_over}
-    hot = frequent_tuples(df, large)
+    sizes = {r.table: tables[r.table].count() for r, _ in looked_up}
+    hot = frequent_tuples(df, {r.column: a for r, a in looked_up if sizes[r.table] > skew_over})
+    # Small dimensions are broadcast: they go first and make the rows narrower
+    # before large ones shuffle them.
+    looked_up.sort(key=lambda pair: sizes[pair[0].table])
     rows = df.select("*", *computed)
     for i, (ref, attributes) in enumerate(looked_up):
         dim = tables[ref.table].withColumnRenamed(star.table(ref.table).key, ref.column)
@@ -153,25 +156,33 @@ def denormalize(
     """
     spec = star.table(table or star.fact.name)
     start = tables[spec.name]
-    df = start
-    large = [r.column for r in spec.references if tables[r.table].count() > skew_over]
-    hot = frequent_tuples(start, {c: [c] for c in large})
     wide = list(dict.fromkeys([spec.key, *spec.attribute_names]))
+    joins = []
     for ref in spec.references:
         target = star.table(ref.table)
-        dim = tables[ref.table]
-        full = denormalize(star, tables, ref.table, skew_over) if target.references else dim
         added = [c for c in star.reachable_attributes(ref.table) if c not in (target.key, *wide)]
+        joins.append((ref, added))
+        wide += added
+        if target.natural_key and target.key not in wide:
+            wide.append(target.key)
+
+    sizes = {ref.table: tables[ref.table].count() for ref in spec.references}
+    hot = frequent_tuples(
+        start, {r.column: [r.column] for r in spec.references if sizes[r.table] > skew_over}
+    )
+    df = start
+    # Large dimensions shuffle the rows: they go first, while the rows are narrow.
+    for ref, added in sorted(joins, key=lambda join: -sizes[join[0].table]):
+        target = star.table(ref.table)
+        nested = denormalize(star, tables, ref.table, skew_over) if target.references else None
+        dim = tables[ref.table] if nested is None else nested
         df = lookup(
             df,
-            full.select(F.col(target.key).alias(ref.column), *added),
+            dim.select(F.col(target.key).alias(ref.column), *added),
             [ref.column],
             added,
             null_safe=False,
             hot=hot.get(ref.column, ()),
             spread_by=[spec.key],
         )
-        wide += added
-        if target.natural_key and target.key not in wide:
-            wide.append(target.key)
     return df.select(*wide)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,8 +22,12 @@ def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
         key = name or fn.__name__
         if key in QUERIES:
             raise ValueError(f"query {key} is registered twice")
-        QUERIES[key] = lambda spark, sf_dir: fn(tune(spark), sf_dir)
-        ORACLE[key] = sql
+
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(tune(spark), sf_dir)
+
+        QUERIES[key], ORACLE[key] = run, sql
         return fn
 
     return register

@@ -86,6 +86,13 @@ def test_profile(spark):
     ]
 
 
+def test_approximate_profile(spark):
+    df = spark.range(20_000).select("id", (F.col("id") % 10).alias("digit"))
+    got = {r.column_name: r for r in P.profile(df, error=0.02).collect()}
+    assert got["digit"].n_distinct == 10 and got["digit"].n_non_null == 20_000
+    assert abs(got["id"].n_distinct - 20_000) < 2_000
+
+
 def test_candidate_keys(people):
     assert rows(P.candidate_keys(people, ["id"], ["id", "name"], ["place"])) == [
         ("id", 4, 3, False),
