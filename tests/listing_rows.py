@@ -31,7 +31,7 @@ ORDINARY = {c.name: None for c in RAW_COLUMNS} | {
     "host_verifications": "['email', 'phone']",
     "host_has_profile_pic": "t",
     "host_identity_verified": "f",
-    "neighbourhood": "Columbus",
+    "neighbourhood": "Springfield",
     "neighbourhood_cleansed": "Hilltop",
     "property_type": "Entire home",
     "room_type": "Entire home/apt",
