@@ -7,6 +7,8 @@ that made them. That is what keeps surrogate keys fixed once assigned.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -75,21 +77,46 @@ class TableStore:
         return spark.table(self.name(name))
 
 
+# Folders this process made for intermediate tables and has not removed yet.
+_OPEN: list[tuple[SparkSession, FolderStore]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster such
-    a folder would be lost with its machine.
+    Only a local session may name a folder of its own machine, or fall back to a
+    temporary one, which goes when the process ends: on a cluster such a folder
+    would be lost with its machine.
     """
+    local = spark.sparkContext.master.startswith("local")
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
+        if named.startswith("file:") and not local:
+            raise RuntimeError(f"spark.checkpoint.dir {named} is a folder of one machine")
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-"))
+    made = tempfile.mkdtemp(prefix="starmart-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext.getCheckpointDir()
 
 
 def workspace(spark: SparkSession) -> FolderStore:
-    """A new store for intermediate tables in the shared folder."""
-    return FolderStore(f"{shared_dir(spark).rstrip('/')}/starmart/{uuid.uuid4().hex}", "error")
+    """A new store for intermediate tables in the shared folder.
+
+    It belongs to this process: ``close_workspaces`` removes it, at the latest
+    when the process ends. Frames that read from it must be consumed before.
+    """
+    store = FolderStore(f"{shared_dir(spark).rstrip('/')}/starmart/{uuid.uuid4().hex}", "error")
+    _OPEN.append((spark, store))
+    return store
+
+
+@atexit.register
+def close_workspaces() -> None:
+    """Remove all workspaces of this process whose session still runs."""
+    while _OPEN:
+        spark, store = _OPEN.pop()
+        if spark.sparkContext._jsc is not None:
+            store.drop(spark)
