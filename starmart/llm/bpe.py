@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -12,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import keep
@@ -60,144 +61,203 @@ def split_words(text: str, path: str) -> list[str]:
 
 
 def _pack(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
 
-def _unpack(data: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+def _pack_numbers(numbers: np.ndarray) -> bytes:
+    """Integers byte plane by byte plane, as small ones leave the upper planes empty."""
+    return _pack(np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes())
 
 
-def _encoded(word: str) -> bytes:
-    return word.encode("utf-8", "surrogatepass")
+def _unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
-def _number_words(path: str, chunk_chars: int):
-    """Per chunk of documents one row: ids, words of each, the words as numbers, the words."""
-    kinds = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
-    names = ["chunk", "ids", "sizes", "numbers", "lengths", "letters"]
+def _unpack_numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_unpack(data), np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        ids, sizes, numbers, vocabulary, chars = [], [], [], {}, 0
 
-        def row():
-            letters = [_encoded(w) for w in vocabulary]
-            lengths = np.fromiter(map(len, letters), np.int32, len(letters))
-            packed = [_pack(x) for x in (b"".join(n.tobytes() for n in numbers), lengths.tobytes(), b"".join(letters))]
-            values = [uuid.uuid4().hex, ids, sizes, *packed]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names)
+# A chunk is one row with its documents (bucket NULL) and one row for each bucket of its words.
+_CHUNK = "chunk string, bucket int, numbers binary, letters binary, ids array<long>, sizes array<long>"
+_NAMES = [c.split()[0] for c in _CHUNK.split(", ")]
+_KINDS = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+# Words of a chunk that are numbered by frequency; small numbers pack well.
+_FREQUENT = 4_096
+
+
+def _number_words(path: str, chunk_chars: int, buckets: int):
+    """Documents to chunks: every word becomes the number of its distinct word.
+
+    The distinct words are ordered by bucket (crc32 of the word) and spelling.
+    The most frequent ones have the first numbers, their places in that order
+    going along; all others follow in that order.
+    """
+
+    def rows(ids, sizes, numbers, vocabulary):
+        chunk = uuid.uuid4().hex
+        words = [w.encode("utf-8", "surrogatepass") for w in vocabulary]
+        home = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int32, len(words))
+        order = np.array(sorted(range(len(words)), key=lambda i: (home[i], words[i])), np.int64)
+        seen = np.concatenate(numbers)
+        times = np.bincount(seen, minlength=len(words))[order]
+        frequent = np.argsort(-times, kind="stable")[:_FREQUENT]
+        rest = np.ones(len(words), bool)
+        rest[frequent] = False
+        number = np.empty(len(words), np.int32)
+        number[order[np.r_[frequent, np.flatnonzero(rest)]]] = np.arange(len(words), dtype=np.int32)
+        made = [(chunk, None, _pack_numbers(number[seen]), _pack_numbers(frequent), ids, sizes)]
+        ends = np.searchsorted(home[order], np.arange(buckets + 1))
+        for bucket in range(buckets):
+            here = [words[i] for i in order[ends[bucket] : ends[bucket + 1]]]
+            if here:
+                lengths = np.fromiter(map(len, here), np.int32, len(here))
+                made.append((chunk, bucket, _pack_numbers(lengths), _pack(b"".join(here)), None, None))
+        arrays = [pa.array(v, t) for v, t in zip(zip(*made, strict=True), _KINDS, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, _NAMES)
 
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        ids, sizes, numbers, vocabulary, chars = [], [], [], {}, 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                words = split_words(text.as_py() or "", path)
+            for doc_id, value in zip(batch.column(0), batch.column(1), strict=True):
+                text = value.as_py() or ""
+                words = split_words(text, path)
                 for w in words:
                     if w not in vocabulary:
                         vocabulary[w] = len(vocabulary)
                 numbers.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
                 ids.append(doc_id.as_py())
                 sizes.append(len(words))
-                chars += len(text.as_py() or "")
+                chars += len(text)
                 if chars >= chunk_chars:
-                    yield row()
+                    yield rows(ids, sizes, numbers, vocabulary)
                     ids, sizes, numbers, vocabulary, chars = [], [], [], {}, 0
         if ids:
-            yield row()
+            yield rows(ids, sizes, numbers, vocabulary)
 
     return run
 
 
-_CHUNK = "chunk string, ids array<long>, sizes array<long>, numbers binary, lengths binary, letters binary"
-_ROWS = 50_000
-
+_ENCODED = "chunk string, bucket int, counts binary, found binary"
+
+
+def _encode_bucket(path: str):
+    """All chunks' words of one bucket: each distinct word is encoded once."""
+
+    def run(group: pa.Table) -> pa.Table:
+        table: dict[bytes, int] = {}
+        places = []
+        for lengths, letters in zip(group["numbers"].to_pylist(), group["letters"].to_pylist(), strict=True):
+            ends, data = np.r_[0, np.cumsum(_unpack_numbers(lengths))].tolist(), _unpack(letters)
+            words = [data[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            for w in words:
+                if w not in table:
+                    table[w] = len(table)
+            places.append(np.fromiter(map(table.__getitem__, words), np.int64, len(words)))
+        distinct, ids = list(table), []
+        for at in range(0, len(distinct), 10_000):
+            words = [w.decode("utf-8", "surrogatepass") for w in distinct[at : at + 10_000]]
+            ids += [e.ids for e in _tokenizer(path).encode_batch(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        counts = [_pack_numbers(sizes[p]) for p in places]
+        found = [
+            _pack_numbers(np.fromiter((i for n in p for i in ids[n]), np.int32, int(sizes[p].sum()))) for p in places
+        ]
+        columns = {"chunk": group["chunk"], "bucket": group["bucket"], "counts": counts, "found": found}
+        return pa.table(columns).cast(pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("counts", pa.binary()), ("found", pa.binary())]))
 
-def _spread_words(batches) -> Iterator[pa.RecordBatch]:
-    """Chunks to rows (chunk, number, word in UTF-8)."""
-    for batch in batches:
-        for chunk, lengths, letters in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            ends = np.r_[0, np.cumsum(_unpack(lengths, np.int32))].astype(np.int64)
-            data = zstandard.ZstdDecompressor().decompress(letters)
-            for at in range(0, len(ends) - 1, _ROWS):
-                to = min(at + _ROWS, len(ends) - 1)
-                words = [data[a:b] for a, b in zip(ends[at:to], ends[at + 1 : to + 1], strict=True)]
-                arrays = [pa.array([chunk] * len(words)), pa.array(range(at, to), pa.int32()), pa.array(words, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["chunk", "number", "word"])
+    return run
 
 
-def _encode_words(path: str):
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [w.decode("utf-8", "surrogatepass") for w in batch.column(0).to_pylist()]
-            made = _tokenizer(path).encode_batch(words, add_special_tokens=False)
-            ids = pa.array([e.ids for e in made], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["word", "ids"])
+_DONE = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def _assemble(table):
+    """One chunk's documents and the ids of its words, joined by the words' numbers."""
+
+    def run(chunk: pa.Table, encoded: pa.Table) -> pa.Table:
+        out: tuple[list, ...] = ([], [], [], [])
+        answers = sorted(zip(*(encoded[c].to_pylist() for c in ("bucket", "counts", "found")), strict=True))
+        counts = np.concatenate([_unpack_numbers(a[1]) for a in answers] or [np.empty(0, np.int32)]).astype(np.int64)
+        found = np.concatenate([_unpack_numbers(a[2]) for a in answers] or [np.empty(0, np.int32)]).tolist()
+        # Decode: the id-to-piece join, once for each distinct word.
+        piece = table.value
+        ends = np.r_[0, np.cumsum(counts)].tolist()
+        spelt = [found[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        ids_of = [",".join(map(str, x)) for x in spelt]
+        text_of = [b"".join([piece[i] for i in x]) for x in spelt]
+        for numbers, letters, ids, sizes in zip(
+            *(chunk[c].to_pylist() for c in ("numbers", "letters", "ids", "sizes")), strict=True
+        ):
+            frequent = _unpack_numbers(letters)
+            rest = np.ones(len(counts), bool)
+            rest[frequent] = False
+            place = np.r_[frequent, np.flatnonzero(rest)].astype(np.int64)[_unpack_numbers(numbers)]
+            at = 0
+            for doc_id, size in zip(ids, sizes, strict=True):
+                words = place[at : at + size]
+                at += size
+                listed = words.tolist()
+                whole = b"".join([text_of[n] for n in listed]).decode("utf-8", "replace").encode()
+                out[0].append(doc_id)
+                out[1].append(int(counts[words].sum()))
+                out[2].append(hashlib.sha256(",".join([ids_of[n] for n in listed]).encode()).hexdigest())
+                out[3].append(hashlib.sha256(whole).hexdigest())
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+        names = [c.split()[0] for c in _DONE.split(", ")]
+        return pa.table([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names)
 
     return run
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """``(id, piece)``: the bytes that each id of the vocabulary stands for."""
+def pieces(path: str) -> list[tuple[int, bytearray]]:
+    """(id, piece): the bytes that each id of the vocabulary stands for."""
     tok = _tokenizer(path)
     # Byte-level vocabularies write a byte as a character: itself if printable, else from 256 on.
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte = {chr(b): b for b in plain}
     byte |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
-    rows = [(i, bytearray(byte[c] for c in p)) for p, i in tok.get_vocab(with_added_tokens=True).items()]
-    return spark.createDataFrame(rows, "id int, piece binary")
-
+    return [(i, bytearray(byte[c] for c in p)) for p, i in tok.get_vocab(with_added_tokens=True).items()]
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """``(word, ids)`` for the distinct values of the column ``word`` (UTF-8)."""
-    return words.select("word").distinct().mapInArrow(_encode_words(path), "word binary, ids array<int>")
 
-
-def decode_ids(rows: DataFrame, key: str, spark: SparkSession, path: str) -> DataFrame:
+def decode_ids(rows: DataFrame, key: str, path: str) -> DataFrame:
     """``(key, decoded)``: the bytes of each row's ``ids``, by a join with the id-to-piece table.
 
     The table has as many rows as the vocabulary, a bound that no data changes,
-    and so is broadcast. ``key`` is unique.
+    and so is broadcast. ``key`` is unique; ids that the vocabulary does not have
+    decode to nothing. Rows whose ``ids`` are NULL or empty are left out.
     """
+    pieces_ = rows.sparkSession.createDataFrame(pieces(path), "id int, piece binary")
     placed = rows.select(key, F.posexplode("ids").alias("at", "id"))
-    joined = placed.join(F.broadcast(pieces(spark, path)), "id", "left")
+    joined = placed.join(F.broadcast(pieces_), "id", "left")
     parts = F.array_sort(F.collect_list(F.struct("at", "piece")))
     joined = joined.groupBy(key).agg(parts.alias("parts"))
     text = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["piece"])), ""))
     return joined.select(key, text.alias("decoded"))
 
 
-def _assemble(batches) -> Iterator[pa.RecordBatch]:
-    """Chunks with the ids and bytes of their words: the columns of each document."""
-    for batch in batches:
-        for ids, sizes, numbers, found in zip(*batch.columns, strict=True):
-            # By position: entry n belongs to word n of the chunk.
-            fields = found.values
-            order = np.argsort(fields.field("number").to_numpy())
-            fields = fields.take(pa.array(order))
-            texts = fields.field("ids").to_pylist()
-            counts = np.array([t.count(",") + 1 for t in texts], np.int64)
-            decoded = fields.field("decoded").to_pylist()
-            flat = _unpack(numbers.as_py(), np.int32)
-            at, out = 0, ([], [], [])
-            for size in sizes.as_py():
-                words = flat[at : at + size]
-                at += size
-                joined = ",".join([texts[n] for n in words])
-                whole = b"".join([decoded[n] for n in words]).decode("utf-8", "replace").encode()
-                out[0].append(int(counts[words].sum()))
-                out[1].append(hashlib.sha256(joined.encode()).hexdigest())
-                out[2].append(hashlib.sha256(whole).hexdigest())
-            arrays = [pa.array(ids.as_py(), pa.int64()), *map(pa.array, out)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-
 def encode_documents(
     docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", chunk_chars: int = CHUNK_CHARS
 ) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row, whole texts, NULL as empty."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row, whole texts, NULL as empty.
+
+    Tasks split texts into words and number them within chunks of ``chunk_chars``
+    characters, so a frequent word is shuffled once a chunk. The distinct words of all
+    chunks meet in buckets, one for each shuffle partition, where each is encoded
+    once; the ids go back to the chunks in the words' order and are joined to
+    the documents by number. Ids decode through the id-to-piece table, which is
+    broadcast: as many entries as the vocabulary, whatever the data.
+
+    Memory: a task holds one chunk, or the distinct words of one bucket; set
+    spark.sql.shuffle.partitions so that these are some 10^5. A repeated row
+    comes back as often as it came.
+    """
     spark = docs.sparkSession
-    chunks = keep(docs.select(F.col(doc_id), F.col(text)).mapInArrow(_number_words(path, chunk_chars), _CHUNK))
-    words = chunks.select("chunk", "lengths", "letters").mapInArrow(_spread_words, "chunk string, number int, word binary")
-    encoded = encode_words(words, path)
-    decoded = decode_ids(encoded, "word", spark, path)
-    known = encoded.join(decoded, "word").select("word", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"), "decoded")
-    back = words.join(known, "word").groupBy("chunk").agg(F.collect_list(F.struct("number", "ids", "decoded")).alias("found"))
-    joined = chunks.join(back, "chunk", "left").select("ids", "sizes", "numbers", "found")
-    return joined.mapInArrow(_assemble, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = docs.select(F.col(doc_id).cast("long"), F.col(text))
+    rows = keep(texts.mapInArrow(_number_words(path, chunk_chars, buckets), _CHUNK))
+    words = rows.where("bucket IS NOT NULL").select("chunk", "bucket", "numbers", "letters")
+    encoded = words.groupBy("bucket").applyInArrow(_encode_bucket(path), _ENCODED)
+    chunks = rows.where("bucket IS NULL").select("chunk", "numbers", "letters", "ids", "sizes")
+    table = spark.sparkContext.broadcast(dict((i, bytes(p)) for i, p in pieces(path)))
+    both = chunks.groupBy("chunk").cogroup(encoded.groupBy("chunk"))
+    return both.applyInArrow(_assemble(table), _DONE)
