@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from starmart.llm.common import keep
 
 # Characters of text whose words are numbered together, one text at least.
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 64_000_000
 
 # Fixed value: how byte-level BPE splits a text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
