@@ -39,30 +39,33 @@ class DigestIndex:
     buckets: int
 
     @classmethod
-    def temporary(cls, spark: SparkSession) -> DigestIndex:
+    def create(cls, spark: SparkSession, name: str, path: str, buckets: int, id_type: str = "bigint") -> DigestIndex:
+        """A new, empty index; one that exists is opened by the class itself."""
+        spark.sql(
+            f"CREATE TABLE {name} (digest STRING, keep STRUCT<id: {id_type}, row: BIGINT>, group_size BIGINT)"
+            f" USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+        return cls(spark, name, path, buckets)
+
+    @classmethod
+    def temporary(cls, spark: SparkSession, id_type: str = "bigint") -> DigestIndex:
         """An empty index in the shared folder, gone when the process ends."""
         name = f"digests_{uuid.uuid4().hex}"
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return cls(spark, name, workspace(spark).path(name), buckets)
-
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
+        return cls.create(spark, name, workspace(spark).path(name), buckets, id_type)
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
     def unseen(self, groups: DataFrame) -> DataFrame:
         """The rows of ``groups``, one per digest, that the index does not have."""
-        if not self.exists():
-            return groups
         known = self.read().select("digest")
         return groups.hint("merge").join(known.hint("merge"), "digest", "left_anti")
 
     def append(self, groups: DataFrame) -> None:
         """Add ``(digest, keep, group_size)``; digests must be new and distinct."""
         dealt = groups.select("digest", "keep", "group_size").repartition(self.buckets, "digest")
-        write = dealt.write.mode("append").format("parquet").option("path", self.path)
-        write.bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name)
+        dealt.write.insertInto(self.name)
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -94,8 +97,7 @@ def deduplicate(rows: DataFrame, index: DigestIndex) -> DataFrame:
     it is shuffled, and its rows are split when they get their group back.
     """
     found = keep(groups_of(rows))
-    new = index.unseen(found).withColumn("new", F.lit(True))
-    new = keep(new) if index.exists() else new
+    new = keep(index.unseen(found).withColumn("new", F.lit(True)))
     index.append(new)
     marked = found.select("digest").join(new.select("digest", "new"), "digest", "left")
     stays = index.read().join(marked, "digest")
@@ -112,8 +114,9 @@ def deduplicate(rows: DataFrame, index: DigestIndex) -> DataFrame:
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; ties leave one row."""
     rows = digests(docs, doc_id, text)
-    index = DigestIndex.temporary(docs.sparkSession)
-    index.append(groups_of(rows))
+    index = DigestIndex.temporary(docs.sparkSession, rows.schema["id"].dataType.simpleString())
+    # Written first: Spark would move the join below the grouping, onto rows of hot groups.
+    index.append(index.unseen(keep(groups_of(rows))))
     stays = index.read().select("digest", F.col("keep.id").alias("id"))
     counted = rows.groupBy("digest", "id").agg(F.count(F.lit(1)).alias("rows"))
     same = (F.col("s.digest") == F.col("n.digest")) & F.col("s.id").eqNullSafe(F.col("n.id"))
