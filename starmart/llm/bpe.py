@@ -96,16 +96,21 @@ def _number_words(path: str, chunk_chars: int, buckets: int):
     def rows(ids, sizes, numbers, vocabulary):
         chunk = uuid.uuid4().hex
         words = [w.encode("utf-8", "surrogatepass") for w in vocabulary]
+        # What is no longer needed goes at once: a chunk is the most that a task holds.
+        vocabulary.clear()
         home = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int32, len(words))
-        order = np.array(sorted(range(len(words)), key=lambda i: (home[i], words[i])), np.int64)
+        by_word = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+        order = by_word[np.argsort(home[by_word], kind="stable")]
         seen = np.concatenate(numbers)
+        numbers.clear()
         times = np.bincount(seen, minlength=len(words))[order]
         frequent = np.argsort(-times, kind="stable")[:_FREQUENT]
         rest = np.ones(len(words), bool)
         rest[frequent] = False
         number = np.empty(len(words), np.int32)
         number[order[np.r_[frequent, np.flatnonzero(rest)]]] = np.arange(len(words), dtype=np.int32)
-        made = [(chunk, None, _pack_numbers(number[seen]), _pack_numbers(frequent), ids, sizes)]
+        seen = number[seen]
+        made = [(chunk, None, _pack_numbers(seen), _pack_numbers(frequent), ids, sizes)]
         ends = np.searchsorted(home[order], np.arange(buckets + 1))
         for bucket in range(buckets):
             here = [words[i] for i in order[ends[bucket] : ends[bucket + 1]]]
@@ -130,7 +135,8 @@ def _number_words(path: str, chunk_chars: int, buckets: int):
                 chars += len(text)
                 if chars >= chunk_chars:
                     yield rows(ids, sizes, numbers, vocabulary)
-                    ids, sizes, numbers, vocabulary, chars = [], [], [], {}, 0
+                    ids, sizes, chars = [], [], 0
+                    pa.default_memory_pool().release_unused()
         if ids:
             yield rows(ids, sizes, numbers, vocabulary)
 
@@ -178,13 +184,14 @@ def _assemble(table):
         out: tuple[list, ...] = ([], [], [], [])
         answers = sorted(zip(*(encoded[c].to_pylist() for c in ("bucket", "counts", "found")), strict=True))
         counts = np.concatenate([_unpack_numbers(a[1]) for a in answers] or [np.empty(0, np.int32)]).astype(np.int64)
-        found = np.concatenate([_unpack_numbers(a[2]) for a in answers] or [np.empty(0, np.int32)]).tolist()
+        found = np.concatenate([_unpack_numbers(a[2]) for a in answers] or [np.empty(0, np.int32)])
         # Decode: the id-to-piece join, once for each distinct word.
-        piece = table.value
-        ends = np.r_[0, np.cumsum(counts)].tolist()
-        spelt = [found[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-        ids_of = [",".join(map(str, x)) for x in spelt]
-        text_of = [b"".join([piece[i] for i in x]) for x in spelt]
+        piece, ids_of, text_of, at = table.value, [], [], 0
+        for size in counts:
+            spelt = found[at : at + size].tolist()
+            at += size
+            ids_of.append(",".join(map(str, spelt)))
+            text_of.append(b"".join([piece[i] for i in spelt]))
         for numbers, letters, ids, sizes in zip(
             *(chunk[c].to_pylist() for c in ("numbers", "letters", "ids", "sizes")), strict=True
         ):
@@ -202,6 +209,7 @@ def _assemble(table):
                 out[1].append(int(counts[words].sum()))
                 out[2].append(hashlib.sha256(",".join([ids_of[n] for n in listed]).encode()).hexdigest())
                 out[3].append(hashlib.sha256(whole).hexdigest())
+        pa.default_memory_pool().release_unused()
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
         names = [c.split()[0] for c in _DONE.split(", ")]
         return pa.table([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names)
