@@ -66,11 +66,13 @@ def _pack(data: bytes) -> bytes:
 
 def _pack_numbers(numbers: np.ndarray) -> bytes:
     """Integers byte plane by byte plane, as small ones leave the upper planes empty."""
-    return _pack(np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes())
+    planes = np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4)
+    pack = zstandard.ZstdCompressor(level=3).compressobj()
+    return b"".join([*(pack.compress(planes[:, k].tobytes()) for k in range(4)), pack.flush()])
 
 
 def _unpack(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    return zstandard.ZstdDecompressor().decompressobj().decompress(data)
 
 
 def _unpack_numbers(data: bytes) -> np.ndarray:
