@@ -50,7 +50,7 @@ def terms(text: str) -> Counter:
         plain = block.split()
         shapes = _DIGIT.sub("0", _OTHERS.sub("a", _CAPITALS.sub("A", block))).split()
         found.update(shapes)
-        found.update(zip([shape_before, *shapes[:-1]], shapes, strict=True))
+        found.update(zip([shape_before, *shapes], shapes, strict=False))
         if plain:
             again += sum(map(str.__eq__, [last or "", *plain[:-1]], plain))
             words += len(plain)

@@ -19,7 +19,7 @@ LEAF = 64
 SHARD_ROWS = 8_192
 # Sums of products below this are exact in a double.
 _EXACT = 1 << 52
-_LONG = 1 << 63
+_LONG = (1 << 63) - 1
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
@@ -66,7 +66,7 @@ class BallTree:
         if norm * self.largest < _EXACT:
             return (self.as_float[rows] @ query.astype(np.float64)).astype(np.int64)
         exact = [sum(int(a) * int(b) for a, b in zip(v, query, strict=True)) for v in self.vectors[rows]]
-        return np.array([min(max(x, -_LONG), _LONG - 1) for x in exact], np.int64)
+        return np.array([min(max(x, -_LONG), _LONG) for x in exact], np.int64)
 
     def search(self, query_id: int, query: np.ndarray, k: int, least: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the ``k`` best, ties to the smaller id; none below ``least``.
@@ -167,7 +167,8 @@ def search(
     Every row but the query's own is a candidate; equal scores go to the smaller
     id. Rows with NULL id or vector, or with a component that is NULL or not finite, take
     no part; rows alike in id and vector count once; vectors of other lengths than
-    the query's are no candidates. Scores beyond 64 bits are cut to the range.
+    the query's are no candidates. Scores beyond 64 bits are cut to plus or minus
+    2^63 - 1 and ranked as such.
 
     Vectors are dealt to shards of about ``shard_rows`` by a hash of their id. A
     shard's tree is built once and every query streams through it, so a task holds
