@@ -24,8 +24,16 @@ _INTEGRAL = {
 _DIGITS_POINT_DIGITS = r"^[+-]?\d+\.\d*$"
 
 
+# What Spark's casts strip from a text: white space and control characters.
+_STRIPPED = "".join(map(chr, [*range(33), *range(127, 160)]))
+
+
+def _strip(col: SparkColumn) -> SparkColumn:
+    return F.btrim(col, F.lit(_STRIPPED))
+
+
 def _may_be_number(text: SparkColumn) -> SparkColumn:
-    """First character is a digit, sign or point.
+    """First character of a stripped text is a digit, sign or point.
 
     A failing cast raises and discards an exception per value, which costs far
     more than this look at one character; texts such as 'N/A' never get there.
@@ -35,17 +43,16 @@ def _may_be_number(text: SparkColumn) -> SparkColumn:
 
 def number_text(col: SparkColumn, type_: str | T.DataType) -> SparkColumn:
     """Text to a decimal or floating number; NULL if it is none or does not fit."""
-    text = F.trim(col)
-    return F.when(_may_be_number(text), text.try_cast(type_))
+    return F.when(_may_be_number(_strip(col)), col.try_cast(type_))
 
 
 def integer_text(col: SparkColumn, type_: str | T.DataType) -> SparkColumn:
     """Text to an integer; decimals are cut off, as in '4.0' from a float column."""
-    text = F.trim(col)
+    text = _strip(col)
     whole = F.substring_index(text, ".", 1)
     return (
         F.when(~_may_be_number(text), F.lit(None))
-        .when(F.instr(text, ".") == 0, text.try_cast(type_))
+        .when(F.instr(text, ".") == 0, col.try_cast(type_))
         .when(text.rlike(_DIGITS_POINT_DIGITS), whole.try_cast(type_))
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.keys import dense_key, has_duplicates, hash_key, monotonic_key
@@ -69,9 +69,9 @@ def save_dim(
 
 
 def frequent_tuples(
-    df: DataFrame, tuples: Mapping[str, Sequence[str]], share: float = 0.001
+    df: DataFrame, tuples: Mapping[str, Sequence[str | Column]], share: float = 0.001
 ) -> dict[str, list[int]]:
-    """Hashes (``hash_key``) of the tuples that hold ``share`` or more of all rows.
+    """Hashes (``hash_key``, of columns or expressions) of the tuples that hold ``share`` or more of all rows.
 
     Takes several sets of columns and finds all of them in one scan: a frequent-items
     sketch of fixed size per set and task, merged in two steps so that no single

@@ -23,9 +23,13 @@ from starmart.sources.store import Store, workspace
 _ROW_BITS = 33
 
 
-def hash_key(cols: Sequence[str]) -> Column:
-    """64-bit key of a tuple. ``xxhash64`` skips NULLs, so their places are hashed too."""
-    return F.xxhash64(*[F.col(c) for c in cols], *[F.col(c).isNull() for c in cols])
+def hash_key(cols: Sequence[str | Column]) -> Column:
+    """64-bit key of a tuple. ``xxhash64`` skips NULLs, so their places are hashed too.
+
+    Equal values of different types have different hashes: cast them first.
+    """
+    values = [F.col(c) if isinstance(c, str) else c for c in cols]
+    return F.xxhash64(*values, *[v.isNull() for v in values])
 
 
 def dense_key(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.operators.dims import frequent_tuples
 from starmart.operators.keys import has_duplicates, hash_key
@@ -23,8 +25,37 @@ class FanOutError(ValueError):
     """The lookup columns do not identify a dimension row."""
 
 
-def _match(left: Sequence[str], right: Sequence[str], null_safe: bool) -> Column:
-    pairs = [(F.col(a), F.col(b)) for a, b in zip(left, right, strict=True)]
+def common_types(df: DataFrame, dim: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> list[T.DataType]:
+    """The type in which each pair of key columns is hashed and compared.
+
+    Spark's own widening: INT and BIGINT meet in BIGINT, decimals in one that holds
+    both. Raises ``TypeError`` where a pair has no common type; a text and a
+    number have none.
+    """
+    types = []
+    for a, b in zip(cols, keys, strict=True):
+        pair = [df.schema[a].dataType, dim.schema[b].dataType]
+        if pair[0] == pair[1]:
+            types.append(pair[0])
+            continue
+        try:
+            if sum(isinstance(t, T.StringType) for t in pair) == 1:
+                raise TypeError
+            types.append(df.select(a).union(dim.select(b)).schema[0].dataType)
+        except (AnalysisException, TypeError):
+            names = " and ".join(t.simpleString() for t in pair)
+            raise TypeError(f"{a} and {b} cannot be compared: {names}") from None
+    return types
+
+
+def lookup_keys(df: DataFrame, dim: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """``cols`` of ``df`` in the types in which ``lookup`` hashes and compares them."""
+    types = common_types(df, dim, cols, cols)
+    return [F.col(c).cast(t) for c, t in zip(cols, types, strict=True)]
+
+
+def _match(left: Sequence[Column], right: Sequence[Column], null_safe: bool) -> Column:
+    pairs = zip(left, right, strict=True)
     terms = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
     condition = terms[0]
     for term in terms[1:]:
@@ -52,10 +83,14 @@ def lookup(
     a sort-merge join sorts on one long; the columns themselves stay in the
     condition and decide.
 
+    Key columns of different types are compared, and hashed, in their common type
+    (``common_types``), so values match as they do with ``==``.
+
     ``check_unique`` first makes sure that ``cols`` identify a dimension row, since
     otherwise rows of ``df`` would multiply; ``allow_fan_out`` asks for just that.
 
-    ``hot`` holds hashes of tuples known to be frequent (see ``frequent_tuples``).
+    ``hot`` holds hashes of tuples known to be frequent (``frequent_tuples`` of
+    ``lookup_keys``).
     Rows with such a tuple are split into parts by a hash of ``spread_by``, and
     their dimension rows, few by construction, get a copy for each part, so no
     task receives a whole hot group. No row is dropped.
@@ -75,11 +110,14 @@ def lookup(
 
     if hot and not spread_by:
         raise ValueError("hot lookups need spread_by: columns that vary within a hot group")
-    condition = _match(cols, keys, null_safe)
+    types = common_types(df, slim, cols, keys)
+    given = [F.col(c).cast(t) for c, t in zip(cols, types, strict=True)]
+    stored = [F.col(k).cast(t) for k, t in zip(keys, types, strict=True)]
+    condition = _match(given, stored, null_safe)
     left, right = df, slim
     if len(cols) > 1 or hot:
-        left = left.withColumn("_lh", hash_key(cols))
-        right = right.withColumn("_rh", hash_key(keys))
+        left = left.withColumn("_lh", hash_key(given))
+        right = right.withColumn("_rh", hash_key(stored))
         condition = (F.col("_lh") == F.col("_rh")) & condition
     if hot:
         part = F.pmod(F.xxhash64(*spread_by), F.lit(_PARTS)).cast("int")
@@ -103,7 +141,8 @@ def lookup_large(
 
     ``dim`` should read from files, where counting it opens footers only.
     """
-    hot = frequent_tuples(df, {"hot": cols})["hot"] if dim.count() > skew_over else ()
+    keys = lookup_keys(df, dim, cols)
+    hot = frequent_tuples(df, {"hot": keys})["hot"] if dim.count() > skew_over else ()
     return lookup(df, dim, cols, values, hot=hot, spread_by=spread_by, **options)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from starmart.functions.text import text_width
 
+# Texts longer than a digest are shuffled as their SHA-256.
 _DIGEST_OVER = 64
 
 
@@ -36,6 +37,9 @@ def _as_text(field: T.StructField) -> Column:
         col = F.to_json(col)
     elif isinstance(dtype, T.BinaryType):
         col = F.hex(col)
+    elif isinstance(dtype, T.TimestampType):
+        # As local time the two hours of a clock set back would be one.
+        return F.unix_micros(col).cast("string")
     elif not isinstance(dtype, T.StringType):
         return col.cast("string")
     digest = F.concat(F.lit("sha256:"), F.sha2(col, 256))

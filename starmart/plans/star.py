@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from starmart.operators.checks import require_schema
 from starmart.operators.dims import distinct_rows, frequent_tuples, save_dim
-from starmart.operators.keys import hash_key
-from starmart.operators.lookup import SKEW_OVER_ROWS, lookup
+from starmart.operators.keys import has_duplicates, hash_key
+from starmart.operators.lookup import SKEW_OVER_ROWS, FanOutError, lookup, lookup_keys
 from starmart.sources.store import Store, workspace
 from starmart.spec import Star
 
@@ -54,7 +54,8 @@ def resolve_keys(
 
     written = [c.name for c in star.table_columns(table)]
     sizes = {r.table: tables[r.table].count() for r, _ in looked_up}
-    hot = frequent_tuples(df, {r.column: a for r, a in looked_up if sizes[r.table] > skew_over})
+    large = {r.column: lookup_keys(df, tables[r.table], a) for r, a in looked_up if sizes[r.table] > skew_over}
+    hot = frequent_tuples(df, large)
     # Small dimensions are broadcast: they go first and make the rows narrower
     # before large ones shuffle them.
     looked_up.sort(key=lambda pair: sizes[pair[0].table])
@@ -147,12 +148,15 @@ def denormalize(
     tables: Mapping[str, DataFrame],
     table: str | None = None,
     skew_over: int = SKEW_OVER_ROWS,
+    allow_fan_out: bool = False,
 ) -> DataFrame:
     """Join a table (the fact by default) back with everything it refers to.
 
     The result has the wide table's columns. Keys are BIGINT, every join is on one
-    key and keeps the rows of the left side. If a natural key has several rows,
-    the fact rows that use it multiply; ``check_star`` reports such keys.
+    key and keeps the rows of the left side. Surrogate keys are unique by
+    construction; natural keys are tested first, and ``FanOutError`` is raised if one
+    has several rows, since the rows that use it would multiply. ``allow_fan_out``
+    asks for just that.
     """
     spec = star.table(table or star.fact.name)
     start = tables[spec.name]
@@ -174,7 +178,11 @@ def denormalize(
     # Large dimensions shuffle the rows: they go first, while the rows are narrow.
     for ref, added in sorted(joins, key=lambda join: -sizes[join[0].table]):
         target = star.table(ref.table)
-        nested = denormalize(star, tables, ref.table, skew_over) if target.references else None
+        if target.natural_key and not allow_fan_out and has_duplicates(tables[ref.table], target.key):
+            raise FanOutError(f"several rows of {ref.table} share a {target.key}; allow_fan_out joins them all")
+        nested = None
+        if target.references:
+            nested = denormalize(star, tables, ref.table, skew_over, allow_fan_out)
         dim = tables[ref.table] if nested is None else nested
         df = lookup(
             df,

@@ -50,6 +50,36 @@ def dim_lookup_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup(rows, dim, STAY, "stay_id", hot=hot, spread_by=["id"]).select("id", "stay_id")
 
 
+_FIRST_ORDER = (
+    "SELECT o_orderkey, min(o_orderkey) OVER (PARTITION BY o_custkey, o_totalprice::DECIMAL(15,2))"
+    " AS first_order FROM orders"
+)
+
+
+def _mixed_types(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders with INT and DECIMAL(12,3) keys, and a dimension with BIGINT and DECIMAL(15,2)."""
+    orders = table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice")
+    keys = orders.select("o_orderkey", F.col("o_custkey").cast("int").alias("c"), price.cast("decimal(12,3)").alias("p"))
+    dim = orders.groupBy(F.col("o_custkey").cast("long").alias("c"), price.cast("decimal(15,2)").alias("p"))
+    return keys, dim.agg(F.min("o_orderkey").alias("first_order"))
+
+
+@query(_FIRST_ORDER)
+def lookup_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys whose two sides have different types match by value."""
+    keys, dim = _mixed_types(spark, sf_dir)
+    return lookup(keys, dim, ["c", "p"], "first_order").select("o_orderkey", "first_order")
+
+
+@query(_FIRST_ORDER)
+def lookup_mixed_types_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with frequent tuples split."""
+    keys, dim = _mixed_types(spark, sf_dir)
+    found = lookup_large(keys, dim, ["c", "p"], "first_order", spread_by=["o_orderkey"], skew_over=0)
+    return found.select("o_orderkey", "first_order")
+
+
 _NO_NULLS = " AND ".join(f"{c} IS NOT NULL" for c in STAY)
 
 

@@ -199,7 +199,7 @@ def _uncast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messy(spark, sf_dir).select(
         "id",
         "host_id",
-        F.substring("price", 2, 100).alias("price"),
+        F.substr(F.col("price"), F.lit(2)).alias("price"),
         "first_review",
         "reviews_per_month",
         F.replace("host_response_rate", F.lit("%"), F.lit(".0")).alias("host_response_rate"),
