@@ -91,16 +91,31 @@ def src_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.scan_table(spark, "orders", store.database)
 
 
-@query("SELECT p_partkey, p_name, s_suppkey, s_name FROM part JOIN supplier ON p_partkey = s_suppkey")
+@query(
+    "SELECT 'part' AS kind, p_partkey AS id, p_name AS name FROM part"
+    " UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier"
+)
 def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables found in a folder by a name pattern, then joined by name."""
+    """Tables found in a folder by a name pattern, then read by name: all their rows."""
     database = _database(spark)
     found = catalog.register_folder(spark, sf_dir, database, "%p%", ".parquet")
     assert f"{database}.part" in found and f"{database}.supplier" in found
     part, supplier = spark.table(f"{database}.part"), spark.table(f"{database}.supplier")
-    return part.join(supplier, F.col("p_partkey") == F.col("s_suppkey")).select(
-        "p_partkey", "p_name", "s_suppkey", "s_name"
-    )
+    parts = part.select(F.lit("part").alias("kind"), F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    return parts.union(supplier.select(F.lit("supplier"), "s_suppkey", "s_name"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def database_use(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A database is made, listed and used: its table is found by its bare name."""
+    database, before = _database(spark), spark.catalog.currentDatabase()
+    TableStore(database).save("orders", table(spark, sf_dir, "orders"))
+    assert database in catalog.list_databases(spark)
+    catalog.use_database(spark, database)
+    try:
+        return spark.table("orders").select("o_orderkey", "o_custkey")
+    finally:
+        catalog.use_database(spark, before)
 
 
 @query(
