@@ -9,6 +9,7 @@ counted from labelled pages.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterable
@@ -177,16 +178,13 @@ class Model:
 
     @classmethod
     def fit(cls, pages: Iterable[tuple[Page, list[int]]]) -> Model:
-        """Counts, smoothed by one, from pages with the state of each node."""
-        seen, tied, states = Counter(), Counter(), Counter()
-        for page, state in pages:
-            for k, (evidence, edge) in enumerate(zip(*features(page), strict=True)):
-                states[state[k]] += 1
-                for e in evidence:
-                    seen[e, state[k]] += 1
-                if k:
-                    for key in _edge_keys(edge):
-                        tied[key, state[page.parents[k]], state[k]] += 1
+        """From pages with the state of each node."""
+        return cls.of_counts(count(pages))
+
+    @classmethod
+    def of_counts(cls, counts: tuple[Counter, Counter, Counter]) -> Model:
+        """Shares of ``count``, smoothed by one."""
+        seen, tied, states = counts
         evidence = {
             e: tuple(float(math.log((seen[e, s] + 1) / (states[s] + 2))) for s in (0, 1)) for e in {e for e, _ in seen}
         }
@@ -236,6 +234,20 @@ class Model:
         return own, tied
 
 
+def count(pages: Iterable[tuple[Page, list[int]]]) -> tuple[Counter, Counter, Counter]:
+    """How often evidence comes with a state, an edge with both its states, and a state."""
+    seen, tied, states = Counter(), Counter(), Counter()
+    for page, state in pages:
+        for k, (evidence, edge) in enumerate(zip(*features(page), strict=True)):
+            states[state[k]] += 1
+            for e in evidence:
+                seen[e, state[k]] += 1
+            if k:
+                for key in _edge_keys(edge):
+                    tied[key, state[page.parents[k]], state[k]] += 1
+    return seen, tied, states
+
+
 def _logsum(a: float, b: float) -> float:
     return (a if a > b else b) + math.log1p(math.exp(-abs(a - b)))
 
@@ -342,18 +354,25 @@ def written_pages() -> list[str]:
 def learn(pages: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``written_pages`` and about ``sample`` rows ``(id, html)`` that have landmarks.
 
-    The rows are chosen by a hash of their id and page; they come to the driver.
+    The rows are chosen by a hash of their id and page. They are counted in the tasks;
+    the driver gets counts by kind of element, not pages.
     """
     total = pages.count()
     part = F.pmod(F.xxhash64(F.lit(13), "id", "html"), F.lit(1 << 30)) / (1 << 30)
-    rows = pages.where(part < min(1.0, sample / max(total, 1))).select("html").collect()
-    labelled = [(p, by_attribute(p)) for p in map(parse, written_pages())] * WRITTEN
-    for row in rows:
-        page = parse(row["html"] or "")
-        states = by_landmark(page)
-        if states:
-            labelled.append((page, states))
-    return Model.fit(labelled)
+    chosen = pages.where(part < min(1.0, sample / max(total, 1))).select("html")
+
+    def tally(batches):
+        for batch in batches:
+            parsed = (parse(h.as_py() or "") for h in batch.column(0))
+            counts = count((p, states) for p in parsed if (states := by_landmark(p)))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(counts)], pa.binary())], ["counts"])
+
+    written = [(p, by_attribute(p)) for p in map(parse, written_pages())] * WRITTEN
+    sums = count(written)
+    for row in chosen.mapInArrow(tally, "counts binary").collect():
+        for into, more in zip(sums, pickle.loads(row["counts"]), strict=True):
+            into.update(more)
+    return Model.of_counts(sums)
 
 
 def main_text(pages: DataFrame, model: Model, html: str = "html") -> DataFrame:

@@ -96,8 +96,8 @@ class Model:
     prior: float
 
     @classmethod
-    def fit(cls, texts: list[str], labels: list[int], rank: int = RANK) -> Model:
-        raw = _counts(texts, {})
+    def fit(cls, raw: np.ndarray, labels: list[int], rank: int = RANK) -> Model:
+        """From the term weights of labelled texts, a row each (``_counts``)."""
         labels_ = np.array(labels, float)
         idf = np.log((1 + len(raw)) / (1 + (raw > 0).sum(0))) + 1
         weighted = _unit(raw * idf) if len(raw) else np.zeros((0, TERMS))
@@ -130,7 +130,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from ``docs`` ``(id, text)`` and ``labels`` ``(id, quality)``; NULL labels do not count.
 
     Of each label about ``sample`` ids are used, chosen by a hash of the id: the bound on
-    what is broadcast to find their texts, comes to the driver and votes.
+    what is broadcast to find their texts, comes to the driver and votes. Texts are
+    weighed in the tasks; the driver gets 4 kB a text, however long it is. Of rows
+    with one id, that with the smallest hash of its text votes.
     """
     known = labels.where("quality IN (0, 1)").distinct()
     counted = known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -138,8 +140,20 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     part = F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 30)) / (1 << 30)
     least = F.when(F.col("quality") == 1, share.get(1, 0.0)).otherwise(share.get(0, 0.0))
     chosen = F.broadcast(known.where(part < least))
-    rows = docs.join(chosen, "id").orderBy("id", "quality", "text").select("text", "quality").collect()
-    return Model.fit([r["text"] or "" for r in rows], [r["quality"] for r in rows])
+    rows = docs.join(chosen, "id").select("id", F.col("quality").cast("int").alias("quality"), F.xxhash64("text").alias("mark"), "text")
+
+    def weigh(batches):
+        memo: dict = {}
+        for batch in batches:
+            for at in range(batch.num_rows):
+                one = batch.slice(at, 1)
+                raw = _counts([one.column(3)[0].as_py() or ""], memo).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([*one.columns[:3], pa.array([raw.tobytes()])], [*"iqmw"])
+
+    known = rows.mapInArrow(weigh, f"i {rows.schema['id'].dataType.simpleString()}, q int, m long, w binary")
+    known = known.groupBy("i", "q").agg(F.min_by("w", "m").alias("w")).orderBy("i", "q").collect()
+    raw = np.frombuffer(b"".join(r["w"] for r in known), np.float32).reshape(-1, TERMS)
+    return Model.fit(raw.astype(float), [r["q"] for r in known])
 
 
 def score_quality(docs: DataFrame, model: Model, text: str = "text", neighbours: int = NEIGHBOURS) -> DataFrame:

@@ -17,6 +17,8 @@ LEAF = 64
 # Vectors of a shard. More make fewer shards for the queries to visit; with 64
 # components a vector takes 1 kB of a task's memory.
 SHARD_ROWS = 8_192
+# Queries that one task streams through a shard; a shard is copied for each block of them.
+BLOCK_QUERIES = 16_384
 # Sums of products below this are exact in a double.
 _EXACT = 1 << 52
 _LONG = (1 << 63) - 1
@@ -161,6 +163,7 @@ def search(
     vector: str = "embedding",
     shard_rows: int = SHARD_ROWS,
     leaf: int = LEAF,
+    block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best of each query, all if fewer.
 
@@ -170,11 +173,12 @@ def search(
     the query's are no candidates. Scores beyond 64 bits are cut to plus or minus
     2^63 - 1 and ranked as such.
 
-    Vectors are dealt to shards of about ``shard_rows`` by a hash of their id. A
-    shard's tree is built once and every query streams through it, so a task holds
-    one shard, one batch of queries and k results a query. The first shard of a
-    length runs alone: its kth scores go with the queries to all other shards, where
-    most branches then fall short of them. Queries come to every shard: with
+    Vectors are dealt to shards of about ``shard_rows`` by a hash of their id, and
+    queries to blocks of about ``block_queries``. Each block has a copy of each shard,
+    whose tree is built once and the block streams through it: a task holds one shard,
+    one batch of queries and k results a query, and grows with neither table. The first
+    shard of a length runs alone: its kth scores go with the queries to all other shards,
+    where most branches then fall short of them. Queries come to every shard: with
     a share of the rows as queries the work is a product, which the bounds prune.
     """
     rows = keep(
@@ -188,14 +192,19 @@ def search(
     none = F.lit(None).cast("long")
     place = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
     stored = rows.select(F.size("v").alias("d"), place.alias("n"), F.lit(False).alias("ask"), "vec_id", none.alias("least"), "v")
+    blocks = max(1, -(-rows.where("ask").count() // block_queries))
+    block = F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks)).cast("int").alias("b")
     asked = rows.where("ask").select(F.size("v").alias("d"), "vec_id", "v").distinct()
+    asked = asked.select("d", block, "vec_id", "v")
 
     def wave(first: int, last: int, bounded: DataFrame) -> DataFrame:
         sent = bounded.withColumn("n", F.explode(F.sequence(F.lit(first), F.lit(last))))
-        sent = sent.select("d", "n", F.lit(True).alias("ask"), "vec_id", "least", "v")
-        dealt = stored.where(F.col("n").between(first, last)).union(sent)
-        dealt = dealt.repartition("d", "n").sortWithinPartitions("d", "n", "ask", "vec_id", "v")
-        flat = dealt.select(F.concat_ws(":", "d", "n").alias("shard"), "ask", "vec_id", "least", "v")
+        sent = sent.select("d", "n", "b", F.lit(True).alias("ask"), "vec_id", "least", "v")
+        held = stored.where(F.col("n").between(first, last))
+        held = held.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        dealt = held.select(*sent.columns).union(sent).repartition("d", "n", "b")
+        dealt = dealt.sortWithinPartitions("d", "n", "b", "ask", "vec_id", "v")
+        flat = dealt.select(F.concat_ws(":", "d", "n", "b").alias("shard"), "ask", "vec_id", "least", "v")
         return flat.mapInArrow(_search_shards(k, leaf), _FOUND)
 
     found = keep(wave(0, 0, asked.withColumn("least", none)))

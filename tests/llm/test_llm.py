@@ -185,6 +185,8 @@ def test_top_k_equals_brute_force(spark):
     data += [(3, data[3][1]), (None, [0.5] * 8), (461, None), (462, [float("nan")] * 8), (463, [None] * 8), (500, [1e15] * 8), (501, [1.0, 2.0])]
     frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
     found = topk.search(frame, F.col("vec_id") % 100 == 0, 10, shard_rows=64, leaf=8).collect()
+    blocks = topk.search(frame, F.col("vec_id") % 100 == 0, 10, shard_rows=64, leaf=8, block_queries=2)
+    assert sorted(map(tuple, blocks.collect())) == sorted(map(tuple, found))
     ints = {i: [int(np.floor(1024 * x)) for x in v] for i, v in data if i is not None and v and len(v) == 8 and None not in v and v[0] == v[0]}
     for q in (0, 100, 200, 300, 400, 500):
         scores = {i: sum(a * b for a, b in zip(ints[q], v, strict=True)) for i, v in ints.items() if i != q}
@@ -215,6 +217,13 @@ def test_bpe_equals_the_library(spark):
     assert bpe.encode_documents(frame.limit(0), tokenizer_path()).count() == 0
 
 
+def test_packed_numbers_round_trip():
+    rng = np.random.default_rng(2)
+    for numbers in ([], [0], [127, 128, 255, 256, 2**31 - 1], rng.integers(0, 2**31 - 1, 1_100_000), rng.zipf(1.2, 5_000) % 10**6):
+        found = bpe._unpack_numbers(bpe._pack_numbers(np.array(numbers, np.int32)))
+        assert found.dtype == np.int32 and found.tolist() == list(numbers)
+
+
 def test_decode_ids(spark):
     from tokenizers import Tokenizer
 
@@ -294,6 +303,9 @@ def test_quality_odd_rows(spark, odd):
     rows = quality.quality(odd, labels).collect()
     assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
     assert all(r["score"] == 0.5 for r in quality.quality(odd, labels.limit(0)).collect())
+    # Rows that share an id vote once, whatever their number.
+    plain = odd.select(F.col("doc_id").alias("id"), "text")
+    assert len(quality.learn(plain, labels.select(F.col("doc_id").alias("id"), "quality")).labels) == 1
 
 
 @needs_data
