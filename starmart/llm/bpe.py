@@ -61,14 +61,34 @@ def split_words(text: str, path: str) -> list[str]:
 
 
 def _pack(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return zstandard.ZstdCompressor(level=9).compress(data)
+
+
+# Numbers packed at a time.
+_RUN = 1 << 20
 
 
 def _pack_numbers(numbers: np.ndarray) -> bytes:
-    """Integers byte plane by byte plane, as small ones leave the upper planes empty."""
-    planes = np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4)
-    pack = zstandard.ZstdCompressor(level=3).compressobj()
-    return b"".join([*(pack.compress(planes[:, k].tobytes()) for k in range(4)), pack.flush()])
+    """Integers from 0 on as one byte each, of 128 and above with open bits to follow.
+
+    The byte is the number itself, or its length in bits and the two bits after the
+    first. Small numbers are frequent, so the bytes compress; the open bits are
+    stored as they are, numbers of one length together.
+    """
+    pack = zstandard.ZstdCompressor(level=9).compressobj()
+    out = []
+    for at in range(0, len(numbers), _RUN):
+        run = np.asarray(numbers[at : at + _RUN], np.int64)
+        bits = np.frexp(run)[1].astype(np.int64)
+        left = np.where(bits > 7, bits - 3, 0)
+        first = np.where(bits > 7, 128 + 4 * (bits - 8) + (run >> left & 3), run).astype(np.uint8)
+        out += [pack.compress(np.array([len(run)], "<u4").tobytes() + first.tobytes())]
+        out += [pack.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK)]
+        for n in np.flatnonzero(np.bincount(left)[1:]) + 1:
+            low = run[left == n][:, None] >> np.arange(n) & 1
+            out.append(pack.compress(np.packbits(low.astype(np.uint8)).tobytes()))
+        out.append(pack.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK))
+    return b"".join([*out, pack.flush()])
 
 
 def _unpack(data: bytes) -> bytes:
@@ -76,7 +96,21 @@ def _unpack(data: bytes) -> bytes:
 
 
 def _unpack_numbers(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(_unpack(data), np.uint8).reshape(4, -1).T).view("<i4").ravel()
+    read, at, runs = np.frombuffer(_unpack(data), np.uint8), 0, [np.empty(0, np.int32)]
+    while at < len(read):
+        size = int.from_bytes(read[at : at + 4].tobytes(), "little")
+        first = read[at + 4 : at + 4 + size].astype(np.int32)
+        at += 4 + size
+        left = np.where(first > 127, (first - 128) // 4 + 5, 0)
+        run = np.where(first > 127, (4 + first % 4) << left, first)
+        for n in np.flatnonzero(np.bincount(left)[1:]) + 1:
+            here = np.flatnonzero(left == n)
+            end = at + -(-here.size * n // 8)
+            low = np.unpackbits(read[at:end], count=here.size * n).reshape(-1, n)
+            run[here] |= low.astype(np.int32) @ (1 << np.arange(n, dtype=np.int32))
+            at = end
+        runs.append(run.astype(np.int32))
+    return np.concatenate(runs)
 
 
 # A chunk is one row with its documents (bucket NULL) and one row for each bucket of its words.
@@ -84,7 +118,7 @@ _CHUNK = "chunk string, bucket int, numbers binary, letters binary, ids array<lo
 _NAMES = [c.split()[0] for c in _CHUNK.split(", ")]
 _KINDS = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 # Words of a chunk that are numbered by frequency; small numbers pack well.
-_FREQUENT = 4_096
+_FREQUENT = 32_768
 
 
 def _number_words(path: str, chunk_chars: int, buckets: int):
