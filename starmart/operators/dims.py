@@ -13,6 +13,8 @@ from starmart.sources.store import Store, workspace
 
 # Sketches are first merged within this many groups of tasks.
 _SKETCH_GROUPS = 128
+# A sketch holds four tuples for each that may be found, a million at most.
+_LEAST_SHARE = 4e-6
 
 KEY_KINDS = ("hash", "dense", "monotonic")
 
@@ -69,10 +71,14 @@ def save_dim(
 
 
 def frequent_tuples(
-    df: DataFrame, tuples: Mapping[str, Sequence[str | Column]], share: float = 0.001
+    df: DataFrame, tuples: Mapping[str, Sequence[str | Column]], share: float | None = None
 ) -> dict[str, list[int]]:
     """Hashes (``hash_key``, of columns or expressions) of the tuples that hold ``share`` or more of all rows.
 
+    Without ``share`` a tuple counts that has more rows than an eighth of what a task gets on
+    average: one of 8 times the shuffle partitions. As these grow with the data, so
+    do the tuples sought, and no task's load depends on the data's size.
+
     Takes several sets of columns and finds all of them in one scan: a frequent-items
     sketch of fixed size per set and task, merged in two steps so that no single
     task merges the sketches of all others. At most ``1 / share`` hashes per set
@@ -82,6 +88,9 @@ def frequent_tuples(
     """
     if not tuples:
         return {}
+    if share is None:
+        share = 1 / (8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    share = max(share, _LEAST_SHARE)
     most = math.ceil(1 / share)
     size = F.lit(4 * most)
     group = F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group")

@@ -12,13 +12,9 @@ from pyspark.sql import types as T
 from starmart.operators.dims import frequent_tuples
 from starmart.operators.keys import has_duplicates, hash_key
 
-# Lookups in dimensions with more rows than this have their hot groups split.
-# Smaller ones are broadcast by Spark if their size allows, which knows no skew,
-# or else left to the skew handling of adaptive execution.
-SKEW_OVER_ROWS = 1_000_000
-
-# Parts into which a hot group is split, and copies made of its dimension row.
-_PARTS = 256
+# Hot tuples' dimension rows are broadcast up to this number. There are more only where
+# tuples do not identify a row; those are left to adaptive execution.
+_MOST_HOT_ROWS = 100_000
 
 
 class FanOutError(ValueError):
@@ -91,9 +87,9 @@ def lookup(
 
     ``hot`` holds hashes of tuples known to be frequent (``frequent_tuples`` of
     ``lookup_keys``).
-    Rows with such a tuple are split into parts by a hash of ``spread_by``, and
-    their dimension rows, few by construction, get a copy for each part, so no
-    task receives a whole hot group. No row is dropped.
+    Their dimension rows, few and counted, are broadcast; rows with such a tuple find
+    theirs there and are dealt by a hash of ``spread_by`` instead of their tuple, so no
+    task receives a whole hot group, however large. No row is dropped or copied.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup joins are left or inner, not {how!r}")
@@ -120,29 +116,69 @@ def lookup(
         right = right.withColumn("_rh", hash_key(stored))
         condition = (F.col("_lh") == F.col("_rh")) & condition
     if hot:
-        part = F.pmod(F.xxhash64(*spread_by), F.lit(_PARTS)).cast("int")
-        parts = F.sequence(F.lit(0), F.when(F.col("_rh").isin(*hot), _PARTS - 1).otherwise(0))
-        left = left.withColumn("_lp", F.when(F.col("_lh").isin(*hot), part).otherwise(0))
-        right = right.withColumn("_rp", F.explode(parts))
-        condition = (F.col("_lp") == F.col("_rp")) & condition
+        is_hot = F.col("_rh").isin(*hot)
+        few = right.where(is_hot)
+        if few.limit(_MOST_HOT_ROWS + 1).count() <= _MOST_HOT_ROWS:
+            return _join_hot_apart(left, right.where(~is_hot), few, condition, how, hot, spread_by).select(
+                *df.columns, *found
+            )
     return left.join(right, condition, how).select(*df.columns, *found)
 
 
+def _join_hot_apart(
+    left: DataFrame,
+    rest: DataFrame,
+    few: DataFrame,
+    condition: Column,
+    how: str,
+    hot: Sequence[int],
+    spread_by: Sequence[str],
+) -> DataFrame:
+    """Join with the hot rows ``few`` by broadcast, then with ``rest`` by shuffle.
+
+    Both have the columns ``_rh``, ``_d…`` and ``_v…`` that ``condition`` names. Hot rows
+    of ``left`` meet nothing in ``rest``: a random place stands for their hash there.
+    """
+    marked = left.withColumn("_hot", F.col("_lh").isin(*hot))
+    place = F.when(F.col("_hot"), F.xxhash64(*spread_by)).otherwise(F.col("_lh"))
+    values = [c for c in few.columns if c.startswith("_v")]
+    first = marked.join(F.broadcast(few.withColumn("_met", F.lit(True))), condition, "left").select(
+        *marked.columns, place.alias("_place"), F.col("_met").alias("_hmet"), *[F.col(v).alias(f"_h{v}") for v in values]
+    )
+    rest = rest.withColumn("_met", F.lit(True))
+    joined = first.join(rest, (F.col("_place") == F.col("_rh")) & condition, "left")
+    if how == "inner":
+        joined = joined.where(F.when(F.col("_hot"), F.col("_hmet")).otherwise(F.col("_met")))
+    chosen = {v: F.when(F.col("_hot"), F.col(f"_h{v}")).otherwise(F.col(v)) for v in values}
+    return joined.select(*left.columns, *[c.alias(v) for v, c in chosen.items()])
+
+
+def may_shuffle(dim: DataFrame) -> bool:
+    """Whether Spark may shuffle for a join with ``dim``: unless it broadcasts it, by its
+    own estimate and threshold. A broadcast join knows no skew."""
+    session = dim.sparkSession._jsparkSession
+    threshold = session.sessionState().conf().autoBroadcastJoinThreshold()
+    size = dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) > threshold
+
+
 def lookup_large(
     df: DataFrame,
     dim: DataFrame,
     cols: Sequence[str],
     values: Sequence[str] | str,
     spread_by: Sequence[str],
-    skew_over: int = SKEW_OVER_ROWS,
+    hot_share: float | None = None,
     **options,
 ) -> DataFrame:
-    """``lookup`` that finds the hot groups itself if the dimension is large.
+    """``lookup`` that finds the hot groups itself, unless Spark broadcasts the dimension.
 
-    ``dim`` should read from files, where counting it opens footers only.
+    ``hot_share`` is the share of the rows from which a tuple is hot; given, they are
+    always sought. See ``frequent_tuples`` for what holds otherwise.
     """
-    keys = lookup_keys(df, dim, cols)
-    hot = frequent_tuples(df, {"hot": keys})["hot"] if dim.count() > skew_over else ()
+    names = [values] if isinstance(values, str) else list(values)
+    sought = hot_share is not None or may_shuffle(dim.select(*cols, *names))
+    hot = frequent_tuples(df, {"hot": lookup_keys(df, dim, cols)}, hot_share)["hot"] if sought else ()
     return lookup(df, dim, cols, values, hot=hot, spread_by=spread_by, **options)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import and_
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from starmart.operators.checks import require_schema
 from starmart.operators.dims import distinct_rows, frequent_tuples, save_dim
 from starmart.operators.keys import has_duplicates, hash_key
-from starmart.operators.lookup import SKEW_OVER_ROWS, FanOutError, lookup, lookup_keys
+from starmart.operators.lookup import FanOutError, lookup, lookup_keys, may_shuffle
 from starmart.sources.store import Store, workspace
 from starmart.spec import Star
 
@@ -24,7 +24,7 @@ def resolve_keys(
     table: str,
     tables: Mapping[str, DataFrame],
     kinds: Mapping[str, str],
-    skew_over: int = SKEW_OVER_ROWS,
+    hot_share: float | None = None,
     null_safe: bool = True,
     allow_fan_out: bool = False,
 ) -> DataFrame:
@@ -32,11 +32,16 @@ def resolve_keys(
 
     A key that is a hash of its attributes is computed in the projection: no join
     and no shuffle. Other keys are looked up on the full attribute set, so a
-    lookup never multiplies rows, and attributes nobody needs any more are
-    dropped before the next one. A reference that names fewer columns (``on``) is
-    first tested to identify its rows, unless ``allow_fan_out``. Without
-    ``null_safe`` rows with a NULL among the columns get no key. ``df`` should read from files: it is scanned a
-    second time to find the hot groups of large dimensions.
+    lookup never multiplies rows. ``tables`` were made of ``df``: each of its tuples is
+    there. So where the hashes of a dimension's tuples are tested to be distinct, the
+    hash alone finds the row, and rows carry one BIGINT a lookup through
+    the shuffles instead of its attributes. Only where hashes meet are tuples compared
+    themselves.
+
+    A reference that names fewer columns (``on``) is first tested to identify its
+    rows, unless ``allow_fan_out``. Without ``null_safe`` rows with a NULL among the columns
+    get no key. ``df`` should read from files: it is scanned a second time to find
+    the hot groups of dimensions that Spark does not broadcast.
     """
     spec = star.table(table)
     computed, looked_up = [], []
@@ -54,26 +59,30 @@ def resolve_keys(
 
     written = [c.name for c in star.table_columns(table)]
     sizes = {r.table: tables[r.table].count() for r, _ in looked_up}
-    large = {r.column: lookup_keys(df, tables[r.table], a) for r, a in looked_up if sizes[r.table] > skew_over}
-    hot = frequent_tuples(df, large)
     # Small dimensions are broadcast: they go first and make the rows narrower
     # before large ones shuffle them.
     looked_up.sort(key=lambda pair: sizes[pair[0].table])
-    rows = df.select("*", *computed)
-    for i, (ref, attributes) in enumerate(looked_up):
+    lookups, sought = [], {}
+    for ref, attributes in looked_up:
         dim = tables[ref.table].withColumnRenamed(star.table(ref.table).key, ref.column)
-        rows = lookup(
-            rows,
-            dim,
-            attributes,
-            ref.column,
-            null_safe=null_safe,
-            check_unique=bool(ref.on),
-            allow_fan_out=allow_fan_out,
-            hot=hot.get(ref.column, ()),
-            spread_by=[spec.key],
-        )
-        needed = {*written, *[a for _, later in looked_up[i + 1 :] for a in later]}
+        given, tuple_hash = lookup_keys(df, dim, attributes), f"_tuple_{ref.column}"
+        by_hash = dim.select(hash_key(lookup_keys(dim, df, attributes)).alias(tuple_hash), ref.column, *attributes)
+        by_tuple = has_duplicates(by_hash, tuple_hash)
+        if by_tuple:
+            keys, options = attributes, {"null_safe": null_safe, "check_unique": bool(ref.on), "allow_fan_out": allow_fan_out}
+        else:
+            computed.append(hash_key(given).alias(tuple_hash))
+            keys, options, given = [tuple_hash], {"null_safe": False}, [hash_key(given)]
+            # No row finds what a NULL keeps from being found.
+            dim = (by_hash if null_safe else by_hash.dropna(subset=attributes)).select(tuple_hash, ref.column)
+        if hot_share is not None or may_shuffle(dim):
+            sought[ref.column] = given
+        lookups.append((ref.column, dim, keys, options))
+    hot = frequent_tuples(df, sought, hot_share)
+    rows = df.select("*", *computed)
+    for i, (column, dim, keys, options) in enumerate(lookups):
+        rows = lookup(rows, dim, keys, column, hot=hot.get(column, ()), spread_by=[spec.key], **options)
+        needed = {*written, *[k for _, _, later, _ in lookups[i + 1 :] for k in later]}
         rows = rows.select(*[c for c in rows.columns if c in needed])
     return rows.select(*written)
 
@@ -84,16 +93,20 @@ def build_star(
     store: Store | None = None,
     key_kind: str = "hash",
     staged: bool = False,
-    skew_over: int = SKEW_OVER_ROWS,
+    hot_share: float | None = None,
     parallel_writes: int = 4,
     null_safe: bool = True,
     allow_fan_out: bool = False,
+    only: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write every table of ``star`` in dependency order; return them as read back.
+    """Write the tables of ``star`` in dependency order; return them as read back.
+
+    All tables, or those of ``only`` with the ones whose keys they look up.
 
     ``clean`` is written once unless ``staged`` says that it already reads from
-    files: each dimension then scans only its own columns. Dimensions are written
-    before the tables that refer to them, and those use the written keys. Tables
+    files: each dimension then scans only its own columns. Dimensions with keys of
+    ours are written before the tables that refer to them, and those use the written
+    keys; a natural key is in the rows already and needs no waiting. Tables
     that do not depend on one another are written by ``parallel_writes`` jobs at a
     time, so that a small dimension does not leave the cluster idle. ``null_safe``
     and ``allow_fan_out`` are explained at ``resolve_keys``.
@@ -105,9 +118,16 @@ def build_star(
     if not staged:
         wide = scratch.save("clean", wide)
 
+    def looked_up(name: str) -> list[str]:
+        return [r.table for r in star.table(name).references if not star.table(r.table).natural_key]
+
+    wanted = [star.table(n).name for n in only] if only is not None else list(star.write_order)
+    for name in wanted:
+        wanted += [n for n in looked_up(name) if n not in wanted]
+
     tables: dict[str, DataFrame] = {}
     kinds: dict[str, str] = {}
-    matching = {"skew_over": skew_over, "null_safe": null_safe, "allow_fan_out": allow_fan_out}
+    matching = {"hot_share": hot_share, "null_safe": null_safe, "allow_fan_out": allow_fan_out}
 
     def write(name: str) -> None:
         spec, schema = star.table(name), star.table_schema(name)
@@ -129,25 +149,23 @@ def build_star(
             rows = resolve_keys(source, star, name, tables, kinds, **matching)
         tables[name] = store.save(name, require_schema(rows, schema))
 
-    waiting = list(star.write_order)
+    waiting = [n for n in star.write_order if n in wanted]
     try:
         with ThreadPoolExecutor(max_workers=parallel_writes) as pool:
             while waiting:
-                ready = [
-                    n for n in waiting if all(r.table in tables for r in star.table(n).references)
-                ]
+                ready = [n for n in waiting if all(d in tables for d in looked_up(n))]
                 list(pool.map(write, ready))
                 waiting = [n for n in waiting if n not in ready]
     finally:
         scratch.drop(spark)  # the written tables do not depend on it
-    return {name: tables[name] for name in star.write_order}
+    return {name: tables[name] for name in star.write_order if name in tables}
 
 
 def denormalize(
     star: Star,
     tables: Mapping[str, DataFrame],
     table: str | None = None,
-    skew_over: int = SKEW_OVER_ROWS,
+    hot_share: float | None = None,
     allow_fan_out: bool = False,
 ) -> DataFrame:
     """Join a table (the fact by default) back with everything it refers to.
@@ -171,9 +189,8 @@ def denormalize(
             wide.append(target.key)
 
     sizes = {ref.table: tables[ref.table].count() for ref in spec.references}
-    hot = frequent_tuples(
-        start, {r.column: [r.column] for r in spec.references if sizes[r.table] > skew_over}
-    )
+    large = [r.column for r in spec.references if hot_share is not None or may_shuffle(tables[r.table])]
+    hot = frequent_tuples(start, {c: [c] for c in large}, hot_share)
     df = start
     # Large dimensions shuffle the rows: they go first, while the rows are narrow.
     for ref, added in sorted(joins, key=lambda join: -sizes[join[0].table]):
@@ -182,7 +199,7 @@ def denormalize(
             raise FanOutError(f"several rows of {ref.table} share a {target.key}; allow_fan_out joins them all")
         nested = None
         if target.references:
-            nested = denormalize(star, tables, ref.table, skew_over, allow_fan_out)
+            nested = denormalize(star, tables, ref.table, hot_share, allow_fan_out)
         dim = tables[ref.table] if nested is None else nested
         df = lookup(
             df,

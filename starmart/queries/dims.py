@@ -81,7 +81,7 @@ _SNOWFLAKE_SQL = f"""SELECT c_custkey, segment_id, n_nationkey, c_name, c_acctba
 @query(_SNOWFLAKE_SQL)
 def dim_snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer with its segment key, and its nation with the region key."""
-    tables = build_star(wide(spark, sf_dir), ORDERS_STAR, key_kind="dense")
+    tables = build_star(wide(spark, sf_dir), ORDERS_STAR, key_kind="dense", only=["customer", "nation"])
     nation = tables["nation"].select("n_nationkey", "region_id")
     return tables["customer"].join(nation, "n_nationkey", "left")
 
@@ -91,7 +91,7 @@ _PROFILE_ID = O.rank_key(["o_orderstatus", "o_orderpriority"])
 
 @query(f"SELECT o_orderkey, {_PROFILE_ID} AS profile_id, c_custkey, o_orderdate, o_totalprice FROM ({WIDE_SQL}) w")
 def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_star(wide(spark, sf_dir), ORDERS_STAR, key_kind="dense")["orders"]
+    return build_star(wide(spark, sf_dir), ORDERS_STAR, key_kind="dense", only=["orders"])["orders"]
 
 
 @query(WIDE_SQL)
@@ -104,8 +104,8 @@ def star_denormalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(WIDE_SQL)
 def star_denormalize_split_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with dense keys and hot groups split off in every lookup."""
-    tables = build_star(wide(spark, sf_dir), ORDERS_STAR, key_kind="dense", skew_over=0)
-    return denormalize(ORDERS_STAR, tables, skew_over=0)
+    tables = build_star(wide(spark, sf_dir), ORDERS_STAR, key_kind="dense", hot_share=0.001)
+    return denormalize(ORDERS_STAR, tables, hot_share=0.001)
 
 
 @query(

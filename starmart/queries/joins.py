@@ -76,7 +76,7 @@ def lookup_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lookup_mixed_types_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with frequent tuples split."""
     keys, dim = _mixed_types(spark, sf_dir)
-    found = lookup_large(keys, dim, ["c", "p"], "first_order", spread_by=["o_orderkey"], skew_over=0)
+    found = lookup_large(keys, dim, ["c", "p"], "first_order", spread_by=["o_orderkey"], hot_share=0.001)
     return found.select("o_orderkey", "first_order")
 
 

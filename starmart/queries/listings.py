@@ -119,18 +119,18 @@ def _table_sql(name: str) -> str:
 
 @query(_table_sql("host"))
 def listings_host(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_listings(raw_listings(spark, sf_dir), key_kind="dense")["host"]
+    return load_listings(raw_listings(spark, sf_dir), key_kind="dense", only=["host"])["host"]
 
 
 @query(_table_sql("listings"))
 def listings_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_listings(raw_listings(spark, sf_dir), key_kind="dense")["listings"]
+    return load_listings(raw_listings(spark, sf_dir), key_kind="dense", only=["listings"])["listings"]
 
 
 @query(_table_sql("listings"))
 def listings_fact_split_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every lookup with hot groups split off; a third of the rows is one group."""
-    return load_listings(raw_listings(spark, sf_dir), key_kind="dense", skew_over=0)["listings"]
+    return load_listings(raw_listings(spark, sf_dir), key_kind="dense", hot_share=0.001, only=["listings"])["listings"]
 
 
 _PARTIAL = {k: PARTIAL_KEYS[k] for k in ("property", "scrapings")}
@@ -161,6 +161,7 @@ def listings_fact_as_published(spark: SparkSession, sf_dir: str) -> DataFrame:
         star=_PARTIAL_STAR,
         key_kind="dense",
         null_safe=False,
+        only=["listings"],
     )["listings"]
 
 

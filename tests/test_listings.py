@@ -80,16 +80,16 @@ def test_overflow_is_counted(spark):
     assert rows(cast_rejects(raw_rows(spark), watched))[0][3] == 1
 
 
-@pytest.mark.parametrize("kind, skew_over", [("hash", 10**6), ("dense", 10**6), ("dense", 0), ("monotonic", 10**6)])
-def test_star_holds_everything(spark, kind, skew_over):
+@pytest.mark.parametrize("kind, hot_share", [("hash", None), ("dense", None), ("dense", 0.001), ("monotonic", None)])
+def test_star_holds_everything(spark, kind, hot_share):
     raw = raw_rows(spark)
-    tables = load_listings(raw, key_kind=kind, skew_over=skew_over)
+    tables = load_listings(raw, key_kind=kind, hot_share=hot_share)
     assert list(tables) == LISTINGS_STAR.write_order
     n = len(VARIATIONS)
     assert row_conservation(raw, tables["listings"], "listing_id").first() == (n, n, n, True)
     found = {r[:3]: r[3] for r in map(tuple, check_star(LISTINGS_STAR, tables).collect()) if r[3]}
     assert found == {("listings", "text_width", "license"): 1}
-    back = denormalize(LISTINGS_STAR, tables, skew_over=skew_over)
+    back = denormalize(LISTINGS_STAR, tables, hot_share=hot_share)
     want = clean_listings(raw)
     assert rows(back.select(*want.columns)) == rows(want)
 

@@ -8,7 +8,7 @@ from listing_rows import raw_rows
 from starmart.operators.dims import distinct_rows
 from starmart.operators.lookup import lookup
 from starmart.plans.listings import LISTINGS_STAR, clean_listings
-from starmart.plans.star import resolve_keys
+from starmart.plans.star import build_star, resolve_keys
 from starmart.queries import QUERIES
 from starmart.sources.store import workspace
 
@@ -37,6 +37,22 @@ def test_hash_keyed_fact_needs_no_join(wide):
     assert "Join" not in text and "Exchange" not in text
 
 
+def test_dense_fact_shuffles_no_attributes(spark, wide, conf):
+    """Rows go to lookups with a hash of their attributes, which are left behind."""
+    star = LISTINGS_STAR
+    tables = build_star(wide, star, key_kind="dense", staged=True, only=["listings"])
+    assert "host_quals_diags" not in tables and "host" not in tables
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    facts = resolve_keys(wide, star, "listings", tables, {n: "dense" for n in tables})
+    text = plan(facts)
+    assert text.count("SortMergeJoin") == 6
+    for line in text.splitlines():
+        if "SortMergeJoin" in line or "Project" in line and "xxhash64" not in line:
+            assert "review_scores_rating" not in line and "neighbourhood_overview" not in line
+    assert sorted(facts.collect()) == sorted(tables["listings"].collect())
+
+
 def test_dimension_reads_its_own_columns_and_combines_before_the_shuffle(wide):
     text = plan(distinct_rows(wide, ["scrape_id", "source"]))
     assert "ReadSchema: struct<scrape_id:bigint,source:string>" in text
