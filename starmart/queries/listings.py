@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import rules as R
-from starmart.operators.checks import check_star, not_in_list
-from starmart.operators.dims import extract_dim
+from starmart.operators.checks import check_star, not_in_list, pk_violations
+from starmart.operators.dims import distinct_rows, extract_dim
+from starmart.operators.profile import candidate_keys
 from starmart.plans.listings import (
     AS_PUBLISHED,
     CORRECTED,
@@ -165,6 +166,138 @@ def listings_fact_as_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     )["listings"]
 
 
+_FAN_OUT_STAR = with_partial_keys(LISTINGS_STAR, PARTIAL_KEYS)
+
+
+def _fan_out_sql() -> str:
+    """All three shorter keys: listings by the neighbourhoods of their pair of names."""
+    pair = PARTIAL_KEYS["neighbourhoods"]
+    attributes = LISTINGS_STAR.table("neighbourhoods").attribute_names
+    facts = _partial_sql().replace("SELECT ", f"SELECT {', '.join(pair)}, ", 1)
+    dim = O.dim(clean_sql(published=True), attributes, "found_id")
+    listed = ", ".join(
+        "found_id AS neighbourhood_id" if c.name == "neighbourhood_id" else f"f.{c.name} AS {c.name}"
+        for c in LISTINGS_STAR.table_columns("listings")
+    )
+    match = " AND ".join(f"f.{c} = n.{c}" for c in pair)
+    return f"SELECT {listed} FROM ({facts}) f LEFT JOIN ({dim}) n ON {match}"
+
+
+@query(_fan_out_sql())
+def listings_fact_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published rules in full: a listing comes once for each neighbourhood of its pair of names."""
+    return load_listings(
+        raw_listings(spark, sf_dir),
+        rules=AS_PUBLISHED,
+        star=_FAN_OUT_STAR,
+        key_kind="dense",
+        null_safe=False,
+        allow_fan_out=True,
+        only=["listings"],
+    )["listings"]
+
+
+def _no_key_sql() -> str:
+    parts = []
+    for ref in _PARTIAL_STAR.fact.references:
+        if ref.table != "host":
+            absent = " OR ".join(f"{a} IS NULL" for a in ref.on or _PARTIAL_STAR.wide_attributes(ref.table))
+            parts.append(f"SELECT '{ref.column}' AS column_name, host_id FROM c WHERE {absent}")
+    return f"""WITH c AS ({clean_sql(published=True)})
+    SELECT column_name, host_id, count(*) AS n_listings FROM ({' UNION ALL '.join(parts)}) u
+    GROUP BY column_name, host_id"""
+
+
+@query(_no_key_sql())
+def listings_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which hosts have listings that got no key under the published rules, and how many."""
+    facts = listings_fact_as_published(spark, sf_dir)
+    keys = [r.column for r in _PARTIAL_STAR.fact.references if r.table != "host"]
+    missing = F.array_compact(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys]))
+    return (
+        facts.select("host_id", F.explode(missing).alias("column_name"))
+        .groupBy("column_name", "host_id")
+        .agg(F.count(F.lit(1)).alias("n_listings"))
+    )
+
+
+def _discovery_sql() -> str:
+    parts = []
+    for name, key in PARTIAL_KEYS.items():
+        attributes = ", ".join(LISTINGS_STAR.table(name).attribute_names)
+        parts.append(
+            f"""SELECT '{name}' AS table_name, '{', '.join(key)}' AS columns, CAST(sum(n) AS BIGINT) AS n_rows,
+            count(*) AS n_distinct, sum(n) = count(*) AS is_key
+            FROM (SELECT count(*) AS n FROM (SELECT DISTINCT {attributes} FROM c) d GROUP BY {', '.join(key)}) g"""
+        )
+    return f"WITH c AS ({CLEAN_SQL}) {' UNION ALL '.join(parts)}"
+
+
+@query(_discovery_sql())
+def listings_key_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Do the shorter keys identify the rows of their dimensions?"""
+    clean = clean_listings(raw_listings(spark, sf_dir))
+    found = [
+        candidate_keys(distinct_rows(clean, LISTINGS_STAR.table(name).attribute_names), tuple(key)).select(
+            F.lit(name).alias("table_name"), "*"
+        )
+        for name, key in PARTIAL_KEYS.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+_TWO_VERSIONS = "CASE WHEN id % 2 = 0 THEN host_about ELSE 'Moved here in ' || CAST(host_id AS STRING) END"
+
+
+@query(
+    f"""WITH r AS (SELECT id, host_id, {_TWO_VERSIONS} AS host_about FROM ({RAW_LISTINGS_SQL}) r),
+    v AS (SELECT host_id, count(*) AS n FROM (SELECT DISTINCT host_id, host_about FROM r) d GROUP BY host_id)
+    SELECT 'fact_rows' AS measure, count(*) AS n FROM r
+    UNION ALL SELECT 'repeated_hosts', count(*) FROM v WHERE n > 1
+    UNION ALL SELECT 'joined_rows', CAST(sum(n) AS BIGINT) FROM r JOIN v ON r.host_id = v.host_id"""
+)
+def listings_two_host_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts with two versions: the fact keeps its rows, the check names the hosts, and
+    joining back multiplies rows only as it was asked to."""
+    raw = raw_listings(spark, sf_dir).withColumn("host_about", F.expr(_TWO_VERSIONS))
+    tables = load_listings(raw)
+    measures = {
+        "fact_rows": tables["listings"],
+        "repeated_hosts": pk_violations(tables["host"], "host_id"),
+        "joined_rows": denormalize(LISTINGS_STAR, tables, allow_fan_out=True),
+    }
+    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(m).alias("measure"), "n") for m, df in measures.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _broken_sql() -> str:
+    repeated = "count(*) FILTER (WHERE id % 20 = 1) + max(CASE WHEN id % 50 = 0 THEN 1 ELSE 0 END)"
+    parts = [
+        "SELECT 'schema' AS \"check\", NULL AS column_name, CAST(1 AS BIGINT) AS violations",
+        f"SELECT 'primary_key', 'listing_id', CAST({repeated} AS BIGINT) FROM r",
+    ]
+    for ref in LISTINGS_STAR.fact.references:
+        n = "count(*) FILTER (WHERE id % 30 = 2)" if ref.column == "scraping_id" else "count(*) * 0"
+        parts.append(f"SELECT 'foreign_key', '{ref.column}', CAST({n} AS BIGINT) FROM r")
+    return f"WITH r AS ({RAW_LISTINGS_SQL}) {' UNION ALL '.join(parts)}"
+
+
+@query(_broken_sql())
+def listings_checks_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks over facts with repeated and NULL ids, keys without a parent and a wrong type."""
+    tables = load_listings(raw_listings(spark, sf_dir))
+    facts = tables["listings"]
+    row = F.col("listing_id")
+    broken = (
+        facts.union(facts.where(row % 20 == 1))
+        .withColumn("scraping_id", F.when(row % 30 == 2, F.lit(-1).cast("long")).otherwise(F.col("scraping_id")))
+        .withColumn("instant_bookable", F.col("instant_bookable").cast("string"))
+        .withColumn("listing_id", F.when(row % 50 != 0, row))
+    )
+    found = check_star(LISTINGS_STAR, {**tables, "listings": broken})
+    return found.where("table_name = 'listings' AND check <> 'text_width'").drop("table_name")
+
+
 @query(CLEAN_SQL)
 def listings_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten tables with hash keys, joined back: the clean wide table again."""
