@@ -167,13 +167,25 @@ def languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     return found.select(F.col("id").alias("doc_id"), "held_out", "lang_pred", "score")
 
 
+def _with_letter(docs: DataFrame, text: str) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.names.index(text)).to_pylist()
+            yield batch.filter(pa.array([any(map(str.isalpha, t or "")) for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def keep_known(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` whose text has a language: rejected are those without a letter.
 
-    The columns are those of ``docs``; ``lang`` keeps the label it came with.
+    Where no profile can be learned, as without labels, the rule is the same. The
+    columns are those of ``docs``; ``lang`` keeps the label it came with.
     """
     plain = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     profiles = learn_profiles(plain.where(~held_out(F.col("id"))), sample)
+    if not profiles:
+        return _with_letter(docs, text)
     # Numbered columns cannot clash with those of the prediction.
     names = [f"c{i}" for i in range(len(docs.columns))]
     read = names[docs.columns.index(text)]

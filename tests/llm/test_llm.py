@@ -440,6 +440,18 @@ def test_languages_odd_rows(spark, odd):
     assert kept.columns == odd.columns and kept.count() == len(ODD) - 4
 
 
+def test_keep_known_without_profiles(spark, odd):
+    text_of = lambda rows: sorted(str(tuple(r)) for r in rows)
+    lettered = [r for r in odd.collect() if any(map(str.isalpha, r["text"] or ""))]
+    bare = odd.withColumn("lang", F.lit(None).cast("string"))
+    kept = langid.keep_known(bare)
+    assert kept.schema == bare.schema and kept.count() == len(lettered) == len(ODD) - 4
+    # All labelled rows held out.
+    held = odd.where(langid.held_out(F.col("doc_id")))
+    assert 0 < held.where("lang IS NOT NULL").count()
+    assert text_of(langid.keep_known(held).collect()) == text_of(r for r in held.collect() if r in lettered)
+
+
 def test_grams_of_blocks_add_up():
     short, long = langid.grams("ab ab"), langid.grams("ab " * 900_000)
     assert set(short[0]) == set(long[0]) and long[1].max() == 900_000
