@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import WORD, join_hot, keep, take_rows
@@ -22,6 +22,10 @@ GROUP_ROWS, FAN = 2_048, 64
 DRAWS, SMALL = 8, 0.002
 
 
+def _skey(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -127,7 +131,7 @@ def copies(
 ) -> DataFrame:
     """How often the mix takes each document: a checkpointed row per (id, text hash, source).
 
-    ``id, mark, units, size, source_size, target, copies``: ``units`` rows are alike in
+    ``skey, id, mark, units, size, source_size, target, copies``: ``units`` rows are alike in
     id, text and source and get ``copies`` together. A source's documents have one rate, target
     / source_size, of 0 to ``most``; the whole part is taken as it is, and the
     fractions are rounded by ``pivot``, weighted with the words, so that the words
@@ -149,7 +153,7 @@ def copies(
         F.sum(F.col("size") * F.col("units")).alias("source_size"), F.count(F.lit(1)).alias("n")
     )
     summed = keep(summed)
-    skey = F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("skey")
+    skey = _skey(F.col("source")).alias("skey")
     buckets = F.greatest(F.lit(1), F.ceil(F.col("n") / group_rows)).alias("buckets")
     targets = source_targets(summed.select("source", "source_size"), weights, most)
     known = targets.select(skey, "source_size", "target").join(summed.select(skey, buckets), "skey")
@@ -185,7 +189,7 @@ def copies(
     for more in done[1:]:
         every = every.unionByName(more)
     taken = (F.col("base") + F.round("chance")).cast("long")
-    return every.select("id", "mark", "units", "size", "source_size", "target", taken.alias("copies"))
+    return every.select("skey", "id", "mark", "units", "size", "source_size", "target", taken.alias("copies"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -202,9 +206,34 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     return each.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"))
 
 
-def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it; documents without words go."""
-    found = copies(docs, doc_id=doc_id, text=text, **options)
-    # The same id and text under two sources are one pick.
-    picks = found.groupBy("id", "mark").agg(F.sum("units").alias("rows"), F.sum("copies").alias("copies"))
-    return take_rows(docs, keep(picks), doc_id, F.xxhash64(text))
+def _row_hash(docs: DataFrame) -> Column:
+    """Hash of all columns; a NULL counts with its place."""
+    cols = [F.to_json(F.struct(docs[c])) if "map<" in t else docs[c] for c, t in docs.dtypes]
+    return F.xxhash64(*cols, *[docs[c].isNull() for c in docs.columns])
+
+
+def mixed_rows(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options
+) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it; documents without words go.
+
+    Rows alike in id, text and source share their copies as evenly as they can,
+    in the order of a hash of all columns; only rows alike in all are interchangeable.
+    """
+    found = copies(docs, doc_id=doc_id, text=text, source=source, **options)
+    kinds = docs.select(
+        docs[doc_id].cast("long").alias("id"),
+        F.xxhash64(docs[text]).alias("mark"),
+        _skey(docs[source]).alias("skey"),
+        _row_hash(docs).alias("row"),
+    )
+    kinds = kinds.groupBy("id", "mark", "skey", "row").agg(F.count(F.lit(1)).alias("rows"))
+    order = Window.partitionBy("id", "mark", "skey").orderBy("row")
+    before = F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    kinds = kinds.withColumn("before", F.coalesce(before, F.lit(0))).alias("k")
+    same = [F.col(f"k.{c}").eqNullSafe(F.col(f"f.{c}")) for c in ("id", "mark", "skey")]
+    extra = F.col("copies") % F.col("units") - F.col("before")
+    share = F.floor(F.col("copies") / F.col("units")) * F.col("rows") + F.greatest(F.lit(0), F.least("rows", extra))
+    shared = kinds.join(found.alias("f"), same).select("k.id", F.col("row").alias("mark"), "rows", share.alias("copies"))
+    picks = shared.groupBy("id", "mark").agg(F.sum("rows").alias("rows"), F.sum("copies").alias("copies"))
+    return take_rows(docs, keep(picks), doc_id, _row_hash(docs))

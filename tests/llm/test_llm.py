@@ -414,6 +414,18 @@ def test_mixing_odd_rows(spark, odd):
     assert words == sum(r["taken"] for r in rows)
 
 
+def test_mixed_rows_keep_sources_and_columns(spark):
+    names = "doc_id long, text string, source string, a string, b string"
+    docs = spark.createDataFrame(
+        [(1, "some words", s, a, b) for s in ("x", "y", None) for a, b in (("p", None), (None, "p"), ("p", "p"))], names
+    )
+    taken = {}
+    for r in mixing.mixed_rows(docs, weights=(1.0, 1.0, 1.0)).collect():
+        taken[tuple(r)] = taken.get(tuple(r), 0) + 1
+    # Equal weights of equal sources: each row comes once.
+    assert taken == {tuple(r): 1 for r in docs.collect()}
+
+
 def test_pivot_keeps_words_and_expectation():
     rng = np.random.default_rng(1)
     sizes, chances = np.array([5.0, 3.0, 8.0, 2.0]), np.array([0.3, 0.6, 0.5, 0.9])
