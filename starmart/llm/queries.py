@@ -99,7 +99,7 @@ def op2_exact_dedup(spark, sf_dir):
 def op3_preference_pairs(spark, sf_dir):
     """Conversations 2k (chosen) and 2k + 1 (rejected) are a pair."""
     turns = table(spark, sf_dir, "conversations")
-    pair = F.floor(F.col("conv_id") / 2).cast("long")
+    pair = F.shiftright(F.col("conv_id").cast("long"), 1)
     pairs = chat.preference_pairs(turns, pair, F.pmod("conv_id", F.lit(2)) == 0)
 
     def spans(mask):

@@ -179,6 +179,14 @@ def test_preference_pairs(spark):
     assert rows[2]["prompt_turns"] == 1 and rows[2]["chosen"] == "" and rows[2]["chosen_mask"] == []
 
 
+def test_preference_pairs_of_large_ids(spark, tmp_path):
+    ids = [2**60, 2**60 + 1, 2**60 + 2, 2**60 + 3, 2**63 - 1]
+    rows = [(i, 0, "user", str(i)) for i in ids]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    found = [r["pair_id"] for r in QUERIES["op3_preference_pairs"](spark, str(tmp_path)).collect()]
+    assert sorted(found) == [2**59, 2**59 + 1, 2**62 - 1]
+
+
 def test_top_k_equals_brute_force(spark):
     rng = np.random.default_rng(5)
     data = [(i, rng.normal(size=8).tolist()) for i in range(400)] + [(i, [1.0] * 8) for i in range(400, 460)]
