@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import bpe, chat, exact_dedup, html_text, langid, licenses, mixing, quality, simhash, topk
+from starmart.llm import bpe, chat, exact_dedup, html_text, langid, licenses, mixing, quality, repair, simhash, topk
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +196,78 @@ def op7_main_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     model = html_text.learn(pages.select(F.col("page_id").alias("id"), "html"))
     return html_text.main_text(pages.select("page_id", "url", "html"), model)
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+               string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT)),
+               lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 1, 2, 3, 4, 5, 6, 7]),
+                   lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))))"""
+_SPACE = "[\\x20\\x09-\\x0D]"
+
+
+@query(
+    f"""
+    WITH RECURSIVE source AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC32} % 20 AS way
+        FROM conversations
+    ), damaged AS (
+        SELECT conv_id, turn, CASE way WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE way WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM source, (VALUES (1), (2)) times(n) WHERE way <> 0 AND (n = 1 OR way = 3)
+    ), numbered AS (
+        SELECT *, row_number() OVER c AS i, lag(role) OVER c AS before
+        FROM damaged WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+    ), turns AS MATERIALIZED (
+        SELECT *, CASE WHEN regexp_full_match(text, '{_SPACE}*') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                       WHEN right(regexp_replace(text, '{_SPACE}+$', ''), 1) NOT IN ('.', '!', '?') THEN 'truncated'
+                  ELSE 'none' END AS fault
+        FROM numbered
+    ), inserts(p, q, added, lines) AS (
+        VALUES (0, 0, '', []::VARCHAR[]), (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']),
+               (1, 1, '', []), (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']),
+               (2, 2, '', []), (2, 3, 'I', ['assistant:']), (3, 3, '', []), (3, 2, 'I', ['user:'])
+    ), reads(q, initial, role, t) AS (
+        VALUES (0, 's', NULL, 1), (0, 'u', 'user', 2), (1, 'u', 'user', 2), (2, 'a', 'assistant', 3), (3, 'u', 'user', 2)
+    ), moves AS MATERIALIZED (
+        SELECT p, q AS t, added || 'D' AS audit, 2 * length(added) + 3 AS cost, lines, 'D' AS edit, NULL::VARCHAR AS initial, NULL::VARCHAR AS role
+        FROM inserts
+        UNION ALL SELECT p, t, added || 'K', 2 * length(added), lines, 'K', initial, NULL FROM inserts JOIN reads USING (q)
+        UNION ALL SELECT p, t, added || 'R', 2 * length(added) + 2, lines, 'R', NULL, role FROM inserts JOIN reads USING (q)
+        WHERE role IS NOT NULL
+    ), walk AS (
+        SELECT conv_id, 0::BIGINT AS i, 0 AS state, {{'cost': 0::BIGINT, 'audit': '', 'body': []::VARCHAR[]}} AS best
+        FROM (SELECT DISTINCT conv_id FROM conversations)
+        UNION ALL
+        SELECT w.conv_id, r.i, m.t, min({{
+                   'cost': w.best.cost + m.cost + CASE WHEN r.fault = 'truncated' AND m.edit <> 'D' THEN 1 ELSE 0 END,
+                   'audit': w.best.audit || m.audit,
+                   'body': w.best.body || m.lines || CASE m.edit WHEN 'D' THEN [] ELSE [coalesce(m.role, r.role) || ':' || r.text] END}})
+        FROM walk w JOIN turns r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1
+        JOIN moves m ON m.p = w.state AND (m.edit = 'D' OR (r.fault NOT IN ('blank', 'duplicate')
+                        AND (m.edit = 'R' OR m.initial = left(r.role, 1))))
+        GROUP BY w.conv_id, r.i, m.t
+    ), facts AS (
+        SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM turns GROUP BY conv_id
+    ), ends(state, added, lines) AS (
+        VALUES (0, '', []::VARCHAR[]), (3, '', []), (2, 'I', ['assistant:']), (1, 'II', ['user:', 'assistant:'])
+    ), best AS (
+        SELECT w.conv_id, min({{'cost': w.best.cost + 2 * length(e.added), 'audit': w.best.audit || e.added,
+                               'body': w.best.body || e.lines}}) AS b
+        FROM walk w JOIN ends e USING (state) LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM w.conv_id
+        WHERE w.i = coalesce(f.n, 0) GROUP BY w.conv_id
+    )
+    SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+           coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+           coalesce(illegal, 0)::BIGINT AS illegal, b.b.cost::BIGINT AS cost, b.b.audit AS audit,
+           sha256(array_to_string(b.b.body, chr(10))) AS repaired_sha256
+    FROM best b LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM b.conv_id
+    """
+)
+def op11_repair(spark, sf_dir):
+    """Conversations damaged by rule, then repaired."""
+    turns = table(spark, sf_dir, "conversations")
+    return repair.digests(repair.repair(repair.damaged(turns), turns))
