@@ -104,8 +104,13 @@ def test_repair_equals_brute_force(spark, conf, block_rows, block_chars, partiti
 def test_turns_are_returned(spark):
     rows = [(1, 0, "assistant", "Hello."), (1, 1, "assistant", "Hello."), (1, 2, "user", "Bye.")]
     (piece,) = R.repair(spark.createDataFrame(rows, TURNS)).collect()
-    assert (piece["cost"], piece["audit"]) == search("a-u") == (8, "DDKI")
-    assert [tuple(t) for t in piece["turns"]] == [("K", "user", "Bye."), ("I", "assistant", "")]
+    assert (piece["cost"], piece["audit"]) == search("a-u") == (7, "IKDKI")
+    assert [tuple(t) for t in piece["turns"]] == [
+        ("I", "user", ""),
+        ("K", "assistant", "Hello."),
+        ("K", "user", "Bye."),
+        ("I", "assistant", ""),
+    ]
 
 
 def test_empty(spark):
