@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import bpe, chat, exact_dedup, html_text, langid, licenses, mixing, quality, repair, simhash, topk
+from starmart.llm import bpe, chat, exact_dedup, html_text, langid, licenses, mixing, quality, repair, secrets, simhash, topk
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -271,3 +271,54 @@ def op11_repair(spark, sf_dir):
     """Conversations damaged by rule, then repaired."""
     turns = table(spark, sf_dir, "conversations")
     return repair.digests(repair.repair(repair.damaged(turns), turns))
+
+
+def _secrets_sql() -> str:
+    """Places of matches from the lengths of the texts between them."""
+    patterns = {
+        "assign": "".join(
+            f"[{c.upper()}{c}]" if c.isalpha() else c for c in "(password|passwd|secret|token|api_?key)"
+        )
+        + """["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
+        "access": "AKIA[A-Z0-9]+",
+        "hex": "[0-9a-f]+",
+    }
+    parts = []
+    for i, (kind, pattern) in enumerate(patterns.items()):
+        counted = f"regexp_extract_all(t, '{pattern}', 2)[i]" if kind == "assign" else "m[i]"
+        least = {"assign": 6, "access": 20, "hex": 24}[kind]
+        parts.append(
+            f"""SELECT doc_id, n, {i} AS rank, '{kind}' AS kind, start, start + length(m[i]) AS stop FROM (
+                SELECT *, (list_sum(list_transform(gaps[:i], lambda x: length(x)))
+                          + coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0))::BIGINT AS start
+                FROM (SELECT doc_id, n, t, regexp_extract_all(t, '{pattern}') AS m, regexp_split_to_array(t, '{pattern}') AS gaps
+                      FROM d), unnest(range(1, len(m) + 1)) u(i)
+                WHERE length({counted}) >= {least})"""
+        )
+    return f"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS n, coalesce(text, '') AS t FROM documents),
+    found AS ({' UNION ALL '.join(parts)}),
+    listed AS (
+        SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+               count(*) FILTER (kind = 'hex') AS n_hex,
+               string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+        FROM found GROUP BY n
+    )
+    SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+           coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN listed USING (n)
+    """
+
+
+@query(_secrets_sql())
+def op13_secrets(spark, sf_dir):
+    """All spans are those of the base rules: the ledger adds none of its own."""
+    found = secrets.scan(table(spark, sf_dir, "documents"), secrets.BlobLedger.temporary(spark))
+    listed = F.array_join(F.transform("findings", lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(r.kind) for r in secrets.RULES], F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans")
+    )
