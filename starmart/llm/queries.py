@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import bpe, chat, exact_dedup, html_text, langid, licenses, mixing, quality, repair, secrets, simhash, topk
+from starmart.llm import bpe, chat, exact_dedup, hardneg, html_text, langid, licenses, mixing, quality, repair, secrets, simhash, topk
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -322,3 +322,35 @@ def op13_secrets(spark, sf_dir):
     return found.select(
         "doc_id", *[count(r.kind) for r in secrets.RULES], F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans")
     )
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, a.q AS anchor, b.vec_id, a.label = b.label AS same,
+               list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i]))::BIGINT AS score
+        FROM v a JOIN v b ON len(a.q) = len(b.q) AND (a.vec_id <> b.vec_id OR a.label <> b.label OR a.q <> b.q)
+        WHERE a.vec_id % 100 = 0
+    ), positives AS (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id, anchor ORDER BY score DESC, vec_id) AS n FROM s WHERE same
+    ), ranked AS (
+        SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+               n.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, p.anchor, p.n ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+        FROM positives p JOIN s n ON n.anchor_id = p.anchor_id AND n.anchor = p.anchor AND NOT n.same
+             AND 80 * p.score::HUGEINT <= 100 * n.score::HUGEINT AND n.score <= p.score
+        WHERE p.n <= 5
+    )
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+    """
+)
+def op12_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(vectors, F.col("vec_id") % 100 == 0, label)
