@@ -8,7 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators.keys import dense_key, has_duplicates, hash_key, monotonic_key
+from starmart.operators.collisions import TooManyCollisions, settled_key, side_table
+from starmart.operators.keys import dense_key, hash_key, monotonic_key, narrowed
 from starmart.sources.store import Store, workspace
 
 # Sketches are first merged within this many groups of tasks.
@@ -34,11 +35,12 @@ def extract_dim(
     key: str,
     kind: str = "dense",
     store: Store | None = None,
+    bits: int = 64,
 ) -> DataFrame:
-    """``(key, *cols)`` with one row per distinct tuple of ``cols``."""
+    """``(key, *cols)`` with one row per distinct tuple of ``cols``; hash keys have ``bits``."""
     distinct = distinct_rows(df, cols)
     if kind == "hash":
-        return distinct.select(hash_key(cols).alias(key), *cols)
+        return distinct.select(narrowed(hash_key(cols), bits).alias(key), *cols)
     if kind == "dense":
         return dense_key(distinct, key, cols, store)
     if kind == "monotonic":
@@ -46,7 +48,12 @@ def extract_dim(
     raise ValueError(f"unknown key kind {kind!r}, expected one of {KEY_KINDS}")
 
 
-def save_dim(
+def save_dim(df: DataFrame, name: str, cols: Sequence[str], key: str, kind: str, store: Store) -> tuple[DataFrame, str]:
+    """Write a dimension; return it with the key kind it ended up with (see ``save_settled_dim``)."""
+    return save_settled_dim(df, name, cols, key, kind, store)[:2]
+
+
+def save_settled_dim(
     df: DataFrame,
     name: str,
     cols: Sequence[str],
@@ -54,20 +61,30 @@ def save_dim(
     kind: str,
     store: Store,
     scratch: Store | None = None,
-) -> tuple[DataFrame, str]:
-    """Write a dimension and return it with the key kind it ended up with.
-
-    Hash keys are tested for collisions on the written table. If two rows share
-    one (to be expected beyond some 10^9 rows), the dimension is numbered densely
-    instead, starting from the rows that are already distinct. ``scratch`` takes
+    bits: int = 64,
+) -> tuple[DataFrame, str, DataFrame | None]:
+    """Write a dimension; return it with the key kind it ended up with and its side table.
+
+    Hash keys are tested for collisions on the written table. Tuples that collide get
+    other keys, which are written as table ``<name>_collisions`` (``side_table``); all other
+    keys stay. Only a hash that is far too short for its table (more collisions than
+    a side table may have) has the dimension numbered densely instead. ``scratch`` takes
     intermediate tables, which nothing reads once this returns.
     """
     scratch = scratch or workspace(df.sparkSession)
-    saved = store.save(name, extract_dim(df, cols, key, kind, scratch))
-    if kind == "hash" and has_duplicates(saved, key):
-        renumbered = dense_key(saved.drop(key), key, cols, scratch)
-        return store.save(name, renumbered, replace=True), "dense"
-    return saved, kind
+    saved = store.save(name, extract_dim(df, cols, key, kind, scratch, bits))
+    if kind != "hash":
+        return saved, kind, None
+    try:
+        side = side_table(saved, key, cols, scratch, bits)
+    except TooManyCollisions:
+        renumbered = dense_key(distinct_rows(saved, cols), key, cols, scratch)
+        return store.save(name, renumbered, replace=True), "dense", None
+    if side is None:
+        return saved, kind, None
+    side = store.save(f"{name}_collisions", side)
+    given = scratch.save(f"{name}_settled", settled_key(saved, side, key, cols, F.col(key), key))
+    return store.save(name, given, replace=True), kind, side
 
 
 def frequent_tuples(

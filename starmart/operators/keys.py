@@ -4,7 +4,8 @@ Three kinds, all BIGINT:
 
 * ``hash``: a function of the attributes alone. The same row has the same key in
   every run, and a fact table can compute its foreign keys without any join.
-  Distinct rows may collide, so the keys are checked after they are written.
+  Distinct rows may collide, so the keys are checked after they are written;
+  ``collisions`` gives those that do other keys.
 * ``dense``: 0, 1, 2, ... in attribute order. Exact at any size; a fact table has
   to look the key up.
 * ``monotonic``: Spark's partition-based id, unique but dependent on the plan.
@@ -32,6 +33,13 @@ def hash_key(cols: Sequence[str | Column]) -> Column:
     return F.xxhash64(*values, *[v.isNull() for v in values])
 
 
+def narrowed(hashed: Column, bits: int) -> Column:
+    """The hash for targets whose keys are narrower: from 0 to 2^bits - 1, or as it is at 64 bits."""
+    if not 0 < bits <= 64:
+        raise ValueError(f"a key has 1 to 64 bits, not {bits}")
+    return hashed if bits == 64 else F.shiftrightunsigned(hashed, 64 - bits)
+
+
 def dense_key(
     distinct: DataFrame, key: str, cols: Sequence[str], store: Store | None = None
 ) -> DataFrame:

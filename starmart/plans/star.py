@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.checks import require_schema
-from starmart.operators.dims import distinct_rows, frequent_tuples, save_dim
-from starmart.operators.keys import has_duplicates, hash_key
+from starmart.operators.collisions import settled_key
+from starmart.operators.dims import distinct_rows, frequent_tuples, save_settled_dim
+from starmart.operators.keys import has_duplicates, hash_key, narrowed
 from starmart.operators.lookup import FanOutError, lookup, lookup_keys, may_shuffle
 from starmart.sources.store import Store, workspace
 from starmart.spec import Star
@@ -27,11 +28,14 @@ def resolve_keys(
     hot_share: float | None = None,
     null_safe: bool = True,
     allow_fan_out: bool = False,
+    sides: Mapping[str, DataFrame] | None = None,
+    key_bits: int = 64,
 ) -> DataFrame:
     """Turn wide rows into rows of ``table``: its key, foreign keys, attributes.
 
     A key that is a hash of its attributes is computed in the projection: no join
-    and no shuffle. Other keys are looked up on the full attribute set, so a
+    and no shuffle. Where tuples of the dimension collided, their side table (``sides``) is
+    broadcast and compared with the rows that have one of its hashes. Other keys are looked up on the full attribute set, so a
     lookup never multiplies rows. ``tables`` were made of ``df``: each of its tuples is
     there. So where the hashes of a dimension's tuples are tested to be distinct, the
     hash alone finds the row, and rows carry one BIGINT a lookup through
@@ -44,13 +48,16 @@ def resolve_keys(
     the hot groups of dimensions that Spark does not broadcast.
     """
     spec = star.table(table)
-    computed, looked_up = [], []
+    computed, looked_up, settled = [], [], []
     for ref in spec.references:
         if star.table(ref.table).natural_key:
             continue
         attributes = list(ref.on or star.wide_attributes(ref.table))
         if kinds[ref.table] == "hash" and not ref.on:
-            key = hash_key(attributes)
+            key = narrowed(hash_key(attributes), key_bits)
+            side = (sides or {}).get(ref.table)
+            if side is not None:
+                settled.append((ref, side, attributes))
             if not null_safe:
                 key = F.when(reduce(and_, [F.col(a).isNotNull() for a in attributes]), key)
             computed.append(key.alias(ref.column))
@@ -80,6 +87,8 @@ def resolve_keys(
         lookups.append((ref.column, dim, keys, options))
     hot = frequent_tuples(df, sought, hot_share)
     rows = df.select("*", *computed)
+    for ref, side, attributes in settled:
+        rows = settled_key(rows, side, star.table(ref.table).key, attributes, F.col(ref.column), ref.column)
     for i, (column, dim, keys, options) in enumerate(lookups):
         rows = lookup(rows, dim, keys, column, hot=hot.get(column, ()), spread_by=[spec.key], **options)
         needed = {*written, *[k for _, _, later, _ in lookups[i + 1 :] for k in later]}
@@ -98,6 +107,7 @@ def build_star(
     null_safe: bool = True,
     allow_fan_out: bool = False,
     only: Sequence[str] | None = None,
+    key_bits: int = 64,
 ) -> dict[str, DataFrame]:
     """Write the tables of ``star`` in dependency order; return them as read back.
 
@@ -109,7 +119,8 @@ def build_star(
     keys; a natural key is in the rows already and needs no waiting. Tables
     that do not depend on one another are written by ``parallel_writes`` jobs at a
     time, so that a small dimension does not leave the cluster idle. ``null_safe``
-    and ``allow_fan_out`` are explained at ``resolve_keys``.
+    and ``allow_fan_out`` are explained at ``resolve_keys``. ``key_bits`` narrows hash keys;
+    where hashes collide, ``<dimension>_collisions`` is written, too (``save_settled_dim``).
     """
     spark = clean.sparkSession
     scratch = workspace(spark)
@@ -127,16 +138,20 @@ def build_star(
 
     tables: dict[str, DataFrame] = {}
     kinds: dict[str, str] = {}
+    sides: dict[str, DataFrame] = {}
     matching = {"hot_share": hot_share, "null_safe": null_safe, "allow_fan_out": allow_fan_out}
+    matching |= {"sides": sides, "key_bits": key_bits}
 
     def write(name: str) -> None:
         spec, schema = star.table(name), star.table_schema(name)
         if name == star.fact.name:
             rows = resolve_keys(wide, star, name, tables, kinds, **matching)
         elif not spec.natural_key:
-            saved, kinds[name] = save_dim(
-                wide, name, spec.attribute_names, spec.key, key_kind, store, scratch
+            saved, kinds[name], side = save_settled_dim(
+                wide, name, spec.attribute_names, spec.key, key_kind, store, scratch, key_bits
             )
+            if side is not None:
+                sides[name] = side
             tables[name] = require_schema(saved, schema)
             return
         elif all(kinds.get(r.table, "hash") == "hash" and not r.on for r in spec.references):

@@ -12,6 +12,7 @@ from starmart.plans.star import build_star, denormalize
 from starmart.queries import oracle as O
 from starmart.queries.inputs import MESSY_SQL, WIDE_SQL, messy, wide
 from starmart.queries.registry import query
+from starmart.spec import Dimension, Reference, Star, columns
 
 PROFILE = ["o_orderstatus", "o_orderpriority", "c_mktsegment"]
 GEO = ["n_name", "r_name"]
@@ -73,6 +74,26 @@ def key_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _uniqueness(extract_dim(messy(spark, sf_dir), STAY, "stay_id", "hash"), "stay_id")
 
 
+_DAY_STAR = Star(
+    dimensions=(Dimension("day", "day_id", columns("c_custkey bigint, o_orderdate date")),),
+    fact=Dimension(
+        "orders",
+        "o_orderkey",
+        columns("o_orderkey bigint, o_totalprice decimal(15,2)"),
+        natural_key=True,
+        references=(Reference("day_id", "day"),),
+    ),
+)
+
+
+@query(f"SELECT o_orderkey, o_totalprice, c_custkey, o_orderdate FROM ({WIDE_SQL}) w")
+def key_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of 24 bits for a dimension about as large as its source, so that many collide:
+    every fact still finds its own tuple."""
+    tables = build_star(wide(spark, sf_dir), _DAY_STAR, key_bits=24)
+    return denormalize(_DAY_STAR, tables)
+
+
 _SNOWFLAKE_SQL = f"""SELECT c_custkey, segment_id, n_nationkey, c_name, c_acctbal, region_id FROM (
   SELECT DISTINCT c_custkey, {O.rank_key(['c_mktsegment'])} AS segment_id, n_nationkey, c_name,
     c_acctbal, {O.rank_key(['r_name'])} AS region_id FROM ({WIDE_SQL}) w) d"""
