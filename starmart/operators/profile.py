@@ -46,6 +46,11 @@ def _as_text(field: T.StructField) -> Column:
     return F.when(F.length(col) > _DIGEST_OVER, digest).otherwise(col)
 
 
+def value_texts(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """Columns ``v0, v1, …``: short texts that are equal just if the values are."""
+    return [_as_text(df.schema[c]).alias(f"v{i}") for i, c in enumerate(cols)]
+
+
 def profile(
     df: DataFrame, cols: Sequence[str] | None = None, error: float | None = None
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import partial, reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from starmart.functions import rules as R
 from starmart.operators.checks import check_star, not_in_list, pk_violations
 from starmart.operators.dims import distinct_rows, extract_dim
+from starmart.operators.key_search import key_table, minimal_keys
 from starmart.operators.profile import candidate_keys
 from starmart.plans.listings import (
     AS_PUBLISHED,
@@ -28,6 +30,7 @@ from starmart.plans.star import denormalize
 from starmart.queries import oracle as O
 from starmart.queries.inputs import RAW_LISTINGS_SQL, raw_listings
 from starmart.queries.registry import query
+from starmart.sources.store import workspace
 
 _RENAMED = {"listing_id": "id", "neighbourhood_overview": "neighborhood_overview"}
 
@@ -246,6 +249,41 @@ def listings_key_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+_KEY_WIDTH = 2
+
+
+def _minimal_keys_sql() -> str:
+    """Every set of up to two columns of every dimension, counted; keys without a smaller key."""
+    tables, parts = [], []
+    for spec in LISTINGS_STAR.dimensions:
+        if spec.natural_key:
+            continue
+        names = spec.attribute_names
+        tables.append(f"{spec.name} AS MATERIALIZED (SELECT DISTINCT {', '.join(names)} FROM c)")
+        single = {a: f"(SELECT count(*) FROM (SELECT DISTINCT {a} FROM {spec.name}) s) = n" for a in names}
+        size = f"(SELECT count(*) AS n FROM {spec.name}) t"
+        parts += [f"SELECT '{spec.name}' AS table_name, '{a}' AS columns, 1 AS width FROM {size} WHERE {single[a]}" for a in names]
+        parts += [
+            f"SELECT '{spec.name}', '{a}, {b}', 2 FROM {size} WHERE NOT {single[a]} AND NOT {single[b]}"
+            f" AND (SELECT count(*) FROM (SELECT DISTINCT {a}, {b} FROM {spec.name}) s) = n"
+            for a, b in combinations(names, 2)
+        ]
+    return f"WITH c AS MATERIALIZED ({CLEAN_SQL}), {', '.join(tables)} {' UNION ALL '.join(parts)}"
+
+
+@query(_minimal_keys_sql())
+def listings_minimal_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The smallest keys of every dimension, found by search."""
+    store = workspace(spark)
+    clean = store.save("clean", clean_listings(raw_listings(spark, sf_dir)))
+    found = []
+    for spec in LISTINGS_STAR.dimensions:
+        if not spec.natural_key:
+            rows = store.save(spec.name, distinct_rows(clean, spec.attribute_names))
+            found += [(spec.name, key) for key in minimal_keys(rows, width=_KEY_WIDTH, staged=True)]
+    return key_table(spark, found)
+
+
 _TWO_VERSIONS = "CASE WHEN id % 2 = 0 THEN host_about ELSE 'Moved here in ' || CAST(host_id AS STRING) END"
 
 
