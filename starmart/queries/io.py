@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.profile import row_counts
 from starmart.plans.orders import ORDERS_STAR
-from starmart.plans.star import build_star
+from starmart.plans.star import build_star, denormalize
 from starmart.queries.inputs import MESSY_SQL, WIDE_SQL, messy, table, wide
 from starmart.queries.registry import query
 from starmart.sources import catalog
 from starmart.sources.delimited import load_delimited, read_csv, write_csv
 from starmart.sources.store import FolderStore, TableStore, workspace
+from starmart.sources.versions import Versions
 from starmart.spec import columns, struct_of
 
 
@@ -163,3 +165,23 @@ def write_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = FolderStore(workspace(spark).path("star"))
     build_star(wide(spark, sf_dir), ORDERS_STAR, store)
     return row_counts({t: store.load(spark, t) for t in ORDERS_STAR.write_order})
+
+
+class _Interrupted(Exception):
+    pass
+
+
+@query(WIDE_SQL)
+def publish_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads published, a third that fails after its dimensions: readers see the second whole."""
+    versions = Versions(spark, workspace(spark).path("star"))
+    rows = wide(spark, sf_dir)
+    with versions.publishing() as store:
+        build_star(rows.where("o_orderdate < DATE '1995-01-01'"), ORDERS_STAR, store)
+    with versions.publishing() as store:
+        build_star(rows, ORDERS_STAR, store)
+    with suppress(_Interrupted), versions.publishing() as store:
+        build_star(rows.where("o_orderdate >= DATE '1995-01-01'"), ORDERS_STAR, store, only=["customer", "nation"])
+        raise _Interrupted
+    versions.remove_old()
+    return denormalize(ORDERS_STAR, versions.tables())
