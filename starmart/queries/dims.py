@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.checks import row_conservation
 from starmart.operators.dims import distinct_rows, extract_dim
+from starmart.operators.key_registry import KeyRegistry
 from starmart.plans.orders import ORDERS_STAR, orders_by_profile
 from starmart.plans.star import build_star, denormalize
 from starmart.queries import oracle as O
 from starmart.queries.inputs import MESSY_SQL, WIDE_SQL, messy, wide
 from starmart.queries.registry import query
+from starmart.sources.store import workspace
 from starmart.spec import Dimension, Reference, Star, columns
 
 PROFILE = ["o_orderstatus", "o_orderpriority", "c_mktsegment"]
@@ -149,3 +153,31 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source to star to report: load, read back, denormalise, aggregate."""
     tables = build_star(wide(spark, sf_dir), ORDERS_STAR)
     return orders_by_profile(denormalize(ORDERS_STAR, tables))
+
+
+_BATCH = "CASE WHEN o_orderdate < DATE '1995-01-01' THEN 1 ELSE 2 END"
+
+
+@query(
+    f"""WITH w AS ({WIDE_SQL}), t AS (
+        SELECT o_orderdate, c_mktsegment, min({_BATCH}) AS first_batch, max({_BATCH}) AS last_batch FROM w
+        GROUP BY o_orderdate, c_mktsegment
+    ), k AS (
+        SELECT *, row_number() OVER (ORDER BY first_batch, o_orderdate NULLS FIRST, c_mktsegment NULLS FIRST) - 1 AS day_id FROM t
+    )
+    SELECT CAST(b AS INTEGER) AS batch, day_id, o_orderdate, c_mktsegment FROM k, (VALUES (1), (2)) v(b)
+    WHERE b BETWEEN first_batch AND last_batch""",
+)
+def key_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in two loads: the second's known tuples keep their keys, new ones are numbered after them."""
+    rows = wide(spark, sf_dir).select("o_orderdate", "c_mktsegment")
+    store = workspace(spark)
+    name = f"keys_{uuid.uuid4().hex}"
+    registry = KeyRegistry.create(spark, name, "day_id", rows.schema.fields, 8, store.path("registry"))
+    batch = F.expr(_BATCH)
+    loads = []
+    for n in (1, 2):
+        tuples = registry.extract_dim(rows.where(batch == n), workspace(spark))
+        loads.append(store.save(f"batch_{n}", tuples.withColumn("batch", F.lit(n))))
+    registry.drop()
+    return loads[0].union(loads[1])
