@@ -90,7 +90,15 @@ def save_settled_dim(
 def frequent_tuples(
     df: DataFrame, tuples: Mapping[str, Sequence[str | Column]], share: float | None = None
 ) -> dict[str, list[int]]:
-    """Hashes (``hash_key``, of columns or expressions) of the tuples that hold ``share`` or more of all rows.
+    """Hashes (``hash_key``) of the tuples that hold ``share`` or more of all rows (see ``frequent_shares``)."""
+    return {name: list(found) for name, found in frequent_shares(df, tuples, share).items()}
+
+
+def frequent_shares(
+    df: DataFrame, tuples: Mapping[str, Sequence[str | Column]], share: float | None = None
+) -> dict[str, dict[int, float]]:
+    """Hashes (``hash_key``, of columns or expressions) of the tuples that hold ``share`` or more
+    of all rows, each with its share.
 
     Without ``share`` a tuple counts that has more rows than an eighth of what a task gets on
     average: one of 8 times the shuffle partitions. As these grow with the data, so
@@ -126,6 +134,6 @@ def frequent_tuples(
         .first()
     )
     if found is None:
-        return {name: [] for name in tuples}
+        return {name: {} for name in tuples}
     least = max(2, found["_rows"] * share)
-    return {name: [t["item"] for t in found[name] if t["count"] >= least] for name in tuples}
+    return {name: {t["item"]: t["count"] / found["_rows"] for t in found[name] if t["count"] >= least} for name in tuples}

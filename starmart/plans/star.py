@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from starmart.operators.checks import require_schema
 from starmart.operators.collisions import settled_key
-from starmart.operators.dims import distinct_rows, frequent_tuples, save_settled_dim
+from starmart.operators.dims import distinct_rows, frequent_shares, frequent_tuples, save_settled_dim
 from starmart.operators.keys import has_duplicates, hash_key, narrowed
 from starmart.operators.lookup import FanOutError, lookup, lookup_keys, may_shuffle
+from starmart.operators.lookup_all import lookup_all
 from starmart.sources.store import Store, workspace
 from starmart.spec import Star
 
@@ -30,6 +31,7 @@ def resolve_keys(
     allow_fan_out: bool = False,
     sides: Mapping[str, DataFrame] | None = None,
     key_bits: int = 64,
+    one_shuffle: bool = False,
 ) -> DataFrame:
     """Turn wide rows into rows of ``table``: its key, foreign keys, attributes.
 
@@ -45,7 +47,9 @@ def resolve_keys(
     A reference that names fewer columns (``on``) is first tested to identify its
     rows, unless ``allow_fan_out``. Without ``null_safe`` rows with a NULL among the columns
     get no key. ``df`` should read from files: it is scanned a second time to find
-    the hot groups of dimensions that Spark does not broadcast.
+    the hot groups of dimensions that Spark does not broadcast. With ``one_shuffle`` all
+    lookups by hash are made in one join and one regrouping (``lookup_all``) instead of one
+    after another: for facts with several dimensions too large to broadcast.
     """
     spec = star.table(table)
     computed, looked_up, settled = [], [], []
@@ -85,12 +89,17 @@ def resolve_keys(
         if hot_share is not None or may_shuffle(dim):
             sought[ref.column] = given
         lookups.append((ref.column, dim, keys, options))
-    hot = frequent_tuples(df, sought, hot_share)
+    hot = frequent_shares(df, sought, hot_share)
     rows = df.select("*", *computed)
+    if one_shuffle:
+        together = {column: (F.col(keys[0]), dim) for column, dim, keys, _ in lookups if keys[0].startswith("_tuple_")}
+        lookups = [l for l in lookups if l[0] not in together]
+        needed = {*written, *[k for _, _, later, _ in lookups for k in later], *[a for _, _, attributes in settled for a in attributes]}
+        rows = lookup_all(rows, together, [c for c in rows.columns if c in needed and c not in together], hot)
     for ref, side, attributes in settled:
         rows = settled_key(rows, side, star.table(ref.table).key, attributes, F.col(ref.column), ref.column)
     for i, (column, dim, keys, options) in enumerate(lookups):
-        rows = lookup(rows, dim, keys, column, hot=hot.get(column, ()), spread_by=[spec.key], **options)
+        rows = lookup(rows, dim, keys, column, hot=list(hot.get(column, ())), spread_by=[spec.key], **options)
         needed = {*written, *[k for _, _, later, _ in lookups[i + 1 :] for k in later]}
         rows = rows.select(*[c for c in rows.columns if c in needed])
     return rows.select(*written)
@@ -108,6 +117,7 @@ def build_star(
     allow_fan_out: bool = False,
     only: Sequence[str] | None = None,
     key_bits: int = 64,
+    one_shuffle: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the tables of ``star`` in dependency order; return them as read back.
 
@@ -118,8 +128,8 @@ def build_star(
     ours are written before the tables that refer to them, and those use the written
     keys; a natural key is in the rows already and needs no waiting. Tables
     that do not depend on one another are written by ``parallel_writes`` jobs at a
-    time, so that a small dimension does not leave the cluster idle. ``null_safe``
-    and ``allow_fan_out`` are explained at ``resolve_keys``. ``key_bits`` narrows hash keys;
+    time, so that a small dimension does not leave the cluster idle. ``null_safe``,
+    ``allow_fan_out`` and ``one_shuffle`` are explained at ``resolve_keys``. ``key_bits`` narrows hash keys;
     where hashes collide, ``<dimension>_collisions`` is written, too (``save_settled_dim``).
     """
     spark = clean.sparkSession
@@ -140,7 +150,7 @@ def build_star(
     kinds: dict[str, str] = {}
     sides: dict[str, DataFrame] = {}
     matching = {"hot_share": hot_share, "null_safe": null_safe, "allow_fan_out": allow_fan_out}
-    matching |= {"sides": sides, "key_bits": key_bits}
+    matching |= {"sides": sides, "key_bits": key_bits, "one_shuffle": one_shuffle}
 
     def write(name: str) -> None:
         spec, schema = star.table(name), star.table_schema(name)

@@ -137,6 +137,12 @@ def listings_fact_split_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_listings(raw_listings(spark, sf_dir), key_kind="dense", hot_share=0.001, only=["listings"])["listings"]
 
 
+@query(_table_sql("listings"))
+def listings_fact_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six lookups in one join and one regrouping by row."""
+    return load_listings(raw_listings(spark, sf_dir), key_kind="dense", one_shuffle=True, only=["listings"])["listings"]
+
+
 _PARTIAL = {k: PARTIAL_KEYS[k] for k in ("property", "scrapings")}
 _PARTIAL_STAR = with_partial_keys(LISTINGS_STAR, _PARTIAL)
 
