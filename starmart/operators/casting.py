@@ -21,39 +21,35 @@ _INTEGRAL = {
 }
 
 
-_DIGITS_POINT_DIGITS = r"^[+-]?\d+\.\d*$"
+# What Spark's casts strip at both ends: blanks and control characters of ASCII.
+_STRIPPED = r"[\x00-\x20\x7F]*"
+_WITH_POINT = rf"^{_STRIPPED}[+-]?(\d+\.\d*|\.\d+){_STRIPPED}\z"
+_NO_WHOLE_PART = rf"^{_STRIPPED}[+-]?\."
 
 
-# What Spark's casts strip from a text: white space and control characters.
-_STRIPPED = "".join(map(chr, [*range(33), *range(127, 160)]))
-
-
-def _strip(col: SparkColumn) -> SparkColumn:
-    return F.btrim(col, F.lit(_STRIPPED))
-
-
-def _may_be_number(text: SparkColumn) -> SparkColumn:
-    """First character of a stripped text is a digit, sign or point.
+def _may_be_number(col: SparkColumn) -> SparkColumn:
+    """The first character is none with which no number begins, as in 'N/A' or '$5'.
 
     A failing cast raises and discards an exception per value, which costs far
-    more than this look at one character; texts such as 'N/A' never get there.
+    more than this look at one character. The text is not copied: what
+    Spark's cast strips passes, and the cast strips it.
     """
-    return F.ascii(text).between(ord("+"), ord("9"))
+    first = F.ascii(col)
+    return ~(first.between(ord("!"), ord("*")) | first.between(ord(":"), ord("~")))
 
 
 def number_text(col: SparkColumn, type_: str | T.DataType) -> SparkColumn:
     """Text to a decimal or floating number; NULL if it is none or does not fit."""
-    return F.when(_may_be_number(_strip(col)), col.try_cast(type_))
+    return F.when(_may_be_number(col), col.try_cast(type_))
 
 
 def integer_text(col: SparkColumn, type_: str | T.DataType) -> SparkColumn:
-    """Text to an integer; decimals are cut off, as in '4.0' from a float column."""
-    text = _strip(col)
-    whole = F.substring_index(text, ".", 1)
+    """Text to an integer; decimals are cut off, as in '4.0' from a float column, or '.5'."""
+    whole = F.substring_index(col, ".", 1).try_cast(type_)
     return (
-        F.when(~_may_be_number(text), F.lit(None))
-        .when(F.instr(text, ".") == 0, col.try_cast(type_))
-        .when(text.rlike(_DIGITS_POINT_DIGITS), whole.try_cast(type_))
+        F.when(~_may_be_number(col), F.lit(None))
+        .when(F.instr(col, ".") == 0, col.try_cast(type_))
+        .when(col.rlike(_WITH_POINT), F.when(col.rlike(_NO_WHOLE_PART), F.lit(0).cast(type_)).otherwise(whole))
     )
 
 

@@ -81,3 +81,26 @@ def test_rename_and_key_first(spark):
     for names in ({"nope": "x"}, {"a": "b"}):
         with pytest.raises(ValueError):
             rename(df, names)
+
+
+TEXTS = [
+    "4", "-4", "+4", ".5", "-.5", "+.5", "0.5", "5.", "-5.", " 4 ", "\t4.0\n", "\x004", "4\x7f", "\x7f.5", "\u00854", "4\u0085", " 4",
+    "N/A", "$5", "(5)", "", " ", ".", "-", "+", "-.", "1.2.3", "4.x", "4.5e1", "1e3", "1,200", "12 3", "2147483648", "-2147483648.9",
+    "٣", "Ä4", "4.0 \x01", ". 5", "- 5", "NaN", "Infinity", "0x1F", "5L", "99999999999999999999.5", "4.9999999999\n",
+]
+
+
+def test_integers_as_the_published_cast(spark, conf):
+    """With ANSI mode off Spark's own cast cuts decimals off; a point alone is no number here."""
+    df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    got = {r.t: (r.n, r.b) for r in cast_schema(df.select("t", F.col("t").alias("n"), F.col("t").alias("b")), columns("n int, b bigint")).collect()}
+    conf("spark.sql.ansi.enabled", "false")
+    want = {r.t: (r.n, r.b) for r in df.select("t", F.col("t").cast("int").alias("n"), F.col("t").cast("bigint").alias("b")).collect()}
+    assert got == want | {t: (None, None) for t in (".", "-.")}
+
+
+def test_decimals_as_try_cast(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "t string").withColumn("d", F.col("t"))
+    got = {r.t: r.d for r in cast_schema(df, columns("d decimal(12,3)")).collect()}
+    assert got == {r.t: r.d for r in df.select("t", F.col("t").try_cast("decimal(12,3)").alias("d")).collect()}
+    assert got[".5"] == Dec("0.500") and got["\u00854"] is None
