@@ -53,7 +53,7 @@ def integer_text(col: SparkColumn, type_: str | T.DataType) -> SparkColumn:
     )
 
 
-def _cast(name: str, source: T.DataType, target: T.DataType) -> SparkColumn:
+def cast_column(name: str, source: T.DataType, target: T.DataType) -> SparkColumn:
     """NULL for values that do not fit, with ANSI mode on or off."""
     col = F.col(name)
     if source == target:
@@ -80,7 +80,7 @@ def cast_schema(df: DataFrame, schema: Iterable[Column], keep_others: bool = Tru
     names = df.columns if keep_others else list(targets)
     return df.select(
         *[
-            _cast(n, sources[n], targets[n].spark_type).alias(n) if n in targets else F.col(n)
+            cast_column(n, sources[n], targets[n].spark_type).alias(n) if n in targets else F.col(n)
             for n in names
         ]
     )
@@ -96,7 +96,7 @@ def cast_rejects(df: DataFrame, schema: Iterable[Column]) -> DataFrame:
     sources = {f.name: f.dataType for f in df.schema}
     counts = []
     for i, c in enumerate(schema):
-        lost = F.col(c.name).isNotNull() & _cast(c.name, sources[c.name], c.spark_type).isNull()
+        lost = F.col(c.name).isNotNull() & cast_column(c.name, sources[c.name], c.spark_type).isNull()
         counts += [
             F.count(F.col(c.name)).alias(f"n{i}"),
             F.count(F.when(lost, 1)).alias(f"r{i}"),

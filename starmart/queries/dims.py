@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starmart.operators.checks import row_conservation
 from starmart.operators.dims import distinct_rows, extract_dim
 from starmart.operators.key_registry import KeyRegistry
+from starmart.operators.quarantine import Counting
 from starmart.plans.orders import ORDERS_STAR, orders_by_profile
 from starmart.plans.star import build_star, denormalize
 from starmart.queries import oracle as O
@@ -143,6 +144,30 @@ def _row_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_conservation(rows, build_star(rows, ORDERS_STAR)["orders"], "o_orderkey")
 
 
+_TABLE_TUPLES = {
+    "clean": "o_orderkey",
+    "profile": "o_orderstatus, o_orderpriority",
+    "segment": "c_mktsegment",
+    "region": "r_name",
+    "nation": "n_nationkey, n_name, r_name",
+    "customer": "c_custkey, c_name, c_acctbal, c_mktsegment, n_nationkey",
+    "orders": "o_orderkey",
+}
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM (SELECT DISTINCT {cols} FROM ({WIDE_SQL}) w) t"
+        for name, cols in _TABLE_TUPLES.items()
+    )
+)
+def load_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the source's clean copy and of every table, observed while they were written."""
+    store = Counting(workspace(spark))
+    build_star(store.save("clean", wide(spark, sf_dir)), ORDERS_STAR, store, staged=True)
+    return spark.createDataFrame(list(store.rows.items()), "table_name string, n_rows bigint")
+
+
 FLAGSHIP_SQL = f"""SELECT o_orderstatus, o_orderpriority, c_mktsegment, r_name, count(*) AS n_orders,
   CAST(sum(o_totalprice) AS DECIMAL(25,2)) AS total_price
 FROM ({WIDE_SQL}) w GROUP BY o_orderstatus, o_orderpriority, c_mktsegment, r_name"""

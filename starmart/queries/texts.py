@@ -19,10 +19,12 @@ from starmart.functions import (
 )
 from starmart.functions import rules as R
 from starmart.operators.casting import cast_rejects, cast_schema, fill_nulls
+from starmart.operators.quarantine import load_typed
 from starmart.plans.listings import AS_PUBLISHED, CORRECTED, read_texts
 from starmart.queries import oracle as O
 from starmart.queries.inputs import MESSY_SQL, RAW_LISTINGS_SQL, messy, raw_listings, table
 from starmart.queries.registry import query
+from starmart.sources.store import workspace
 from starmart.spec import columns
 
 
@@ -231,6 +233,44 @@ def _cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_rejects(_uncast(spark, sf_dir), watched)
 
 
+def _reason_sql(column: str, typed: str, why: str) -> str:
+    return f"SELECT id, '{column}' AS column_name, {column} AS text, {why} AS reason FROM s WHERE {column} IS NOT NULL AND {typed} IS NULL"
+
+
+_NOT_A_NUMBER = "CASE WHEN try_cast({c} AS DOUBLE) IS NULL THEN 'not a number' ELSE 'out of range' END"
+_QUARANTINE_SQL = f"""WITH s AS (SELECT id, host_id, substr(price, 2) AS price, first_review, reviews_per_month,
+    replace(host_response_rate, '%', '.0') AS host_response_rate FROM ({MESSY_SQL}) m) """ + " UNION ALL ".join(
+    [
+        _reason_sql("price", "try_cast(price AS DECIMAL(10,2))", _NOT_A_NUMBER.format(c="price")),
+        _reason_sql("first_review", "try_cast(first_review AS DATE)", "'not a date'"),
+        _reason_sql("reviews_per_month", "try_cast(reviews_per_month AS DECIMAL(3,2))", _NOT_A_NUMBER.format(c="reviews_per_month")),
+        _reason_sql("host_response_rate", O.integer("host_response_rate"), _NOT_A_NUMBER.format(c="host_response_rate")),
+    ]
+)
+
+
+@query(_QUARANTINE_SQL)
+def load_with_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values set aside by the pass that types the rows, with their row and the reason."""
+    store = workspace(spark)
+    return load_typed(_uncast(spark, sf_dir), _CASTS, "id", store, "messy").quarantine
+
+
+@query(
+    f"""WITH t AS ({_CASTS_SQL}), s AS (SELECT id, host_id, substr(price, 2) AS price, first_review, reviews_per_month,
+      replace(host_response_rate, '%', '.0') AS host_response_rate FROM ({MESSY_SQL}) m) """
+    + " UNION ALL ".join(
+        f"SELECT '{c.name}' AS column_name, '{c.type}' AS type, (SELECT count({c.name}) FROM s) AS n_values,"
+        f" (SELECT count({c.name}) FROM s) - (SELECT count({c.name}) FROM t) AS n_rejects"
+        for c in _CASTS
+    ),
+)
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values and rejects of every column, observed by the pass that types the rows."""
+    store = workspace(spark)
+    return load_typed(_uncast(spark, sf_dir), _CASTS, "id", store, "messy").counts
+
+
 @query(
     f"""SELECT id, coalesce({O.codes('host_response_time', R.RESPONSE_TIME_CODES)}, 'NA') AS host_response_time,
     coalesce({O.percent('host_response_rate')}, CAST(-1 AS DECIMAL(3,2))) AS host_response_rate,
