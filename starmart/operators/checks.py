@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.operators.lookup import common_types
+from starmart.operators.profile import value_text
 from starmart.spec import Column, Star, struct_of
 
 ISSUES = "column_name string, expected string, actual string, issue string"
@@ -161,42 +164,65 @@ def check_star(star: Star, tables: Mapping[str, DataFrame]) -> DataFrame:
 
     Checks: ``schema`` (columns and types), ``primary_key`` (keys that repeat or
     are NULL), ``foreign_key`` (rows without a parent) and ``text_width``.
+
+    Each table is scanned once. A row yields a record per key it has or refers to,
+    marked with the table the key is of and the role it plays, and one for each text that is too
+    wide. Records collapse in the tasks, so a hot key is one record a task; one shuffle
+    brings all roles of a key together, and every check is a sum over these groups.
     """
     spark = next(iter(tables.values())).sparkSession
-    parts: list[DataFrame] = []
-
-    def total(found: DataFrame, table: str, check: str, column: str, count) -> None:
-        parts.append(
-            found.agg(F.coalesce(count, F.lit(0)).cast("bigint").alias("violations")).select(
-                F.lit(table).alias("table_name"),
-                F.lit(check).alias("check"),
-                F.lit(column).alias("column_name"),
-                "violations",
-            )
-        )
-
-    metadata = []
+    number = {name: i for i, name in enumerate(star.write_order)}
+    # References to one table are its roles 1, 2, …; role 0 is the key itself.
+    roles: dict[str, int] = dict.fromkeys(number, 0)
+    found, kinds, records = [], [], []
     for name in star.write_order:
         spec, df = star.table(name), tables[name]
         declared = star.table_columns(name)
-        metadata.append(
-            (name, "schema", None, len(schema_issues(df.schema, struct_of(declared))))
-        )
-        total(pk_violations(df, spec.key), name, "primary_key", spec.key, F.count(F.lit(1)))
+        found.append((name, "schema", None, len(schema_issues(df.schema, struct_of(declared)))))
+        entries = [_record(number[name], 0, value_text(df, spec.key))]
+        kinds.append((name, "primary_key", spec.key, number[name], 0))
         for ref in spec.references:
-            found = fk_orphans(df, ref.column, tables[ref.table], star.table(ref.table).key)
-            total(found, name, "foreign_key", ref.column, F.sum("n_rows"))
-        limits = {c.name: c.max_len for c in declared if c.max_len is not None}
-        if limits:
-            parts.append(
-                text_overflow(df, limits).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit("text_width").alias("check"),
-                    "column_name",
-                    F.col("n_over").alias("violations"),
-                )
-            )
-    return reduce(DataFrame.unionByName, parts, _metadata(spark, metadata))
+            roles[ref.table] += 1
+            used = _in_type_of(df, ref.column, tables[ref.table], star.table(ref.table).key)
+            entries.append(_record(number[ref.table], roles[ref.table], used))
+            kinds.append((name, "foreign_key", ref.column, number[ref.table], roles[ref.table]))
+        for i, c in enumerate(c for c in declared if c.max_len is not None):
+            # Places of their own, below those of the tables' keys.
+            place = -1 - (number[name] * 1_000 + i)
+            entries.append(F.when(F.length(F.col(c.name)) > c.max_len, _record(place, 0, F.lit(None).cast("string"))))
+            kinds.append((name, "text_width", c.name, place, 0))
+        records.append(df.select(F.inline(F.array_compact(F.array(*entries)))))
+
+    most = max(roles.values(), default=0)
+    counted = [F.count_if(F.col("role") == r).alias(f"n{r}") for r in range(most + 1)]
+    groups = reduce(DataFrame.union, records).groupBy("place", "key").agg(*counted)
+    absent = F.col("key").isNull()
+    repeated = F.when(F.col("place") < 0, F.col("n0")).otherwise(
+        F.when((F.col("n0") > 1) | (absent & (F.col("n0") > 0)), 1).otherwise(0)
+    )
+    orphans = [F.sum(F.when((F.col("n0") == 0) | absent, F.col(f"n{r}")).otherwise(0)) for r in range(1, most + 1)]
+    sums = groups.groupBy("place").agg(F.array(F.sum(repeated), *orphans).alias("sums"))
+    declared = spark.createDataFrame(
+        kinds, "table_name string, check string, column_name string, place int, role int"
+    )
+    checked = F.broadcast(declared).join(sums, "place", "left").select(
+        "table_name", "check", "column_name", F.coalesce(F.get("sums", F.col("role")), F.lit(0)).alias("violations")
+    )
+    return _metadata(spark, found).unionByName(checked)
+
+
+def _in_type_of(df: DataFrame, fk: str, parent: DataFrame, key: str) -> SparkColumn:
+    """The text of a foreign key as a key of ``parent``; NULL for a value that no such key can have."""
+    type_ = parent.schema[key].dataType
+    if df.schema[fk].dataType == type_:
+        return value_text(df, fk)
+    (common,) = common_types(df, parent, [fk], [key])
+    same = F.col(fk).try_cast(type_)
+    return F.when(same.cast(common) == F.col(fk).cast(common), value_text(parent, key, same))
+
+
+def _record(place: int, role: int, key: SparkColumn) -> SparkColumn:
+    return F.struct(F.lit(place).alias("place"), F.lit(role).alias("role"), key.alias("key"))
 
 
 def _metadata(spark: SparkSession, rows: list[tuple]) -> DataFrame:

@@ -24,13 +24,13 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def _as_text(field: T.StructField) -> Column:
+def _as_text(field: T.StructField, value: Column | None = None) -> Column:
     """A text that is the same for two values just if the values are equal.
 
     Long texts are replaced by a SHA-256 digest behind a marker that keeps them
     apart from short texts, so that long documents are not shuffled whole.
     """
-    col, dtype = F.col(field.name), field.dataType
+    col, dtype = F.col(field.name) if value is None else value, field.dataType
     if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
         return (col + F.lit(0.0).cast(dtype)).cast("string")  # -0.0 equals 0.0
     if isinstance(dtype, T.ArrayType | T.StructType | T.MapType):
@@ -46,6 +46,11 @@ def _as_text(field: T.StructField) -> Column:
     return F.when(F.length(col) > _DIGEST_OVER, digest).otherwise(col)
 
 
+def value_text(df: DataFrame, col: str, value: Column | None = None) -> Column:
+    """A short text of a column, or of ``value`` of its type, that is equal for two values just if they are."""
+    return _as_text(df.schema[col], value)
+
+
 def value_texts(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     """Columns ``v0, v1, …``: short texts that are equal just if the values are."""
     return [_as_text(df.schema[c]).alias(f"v{i}") for i, c in enumerate(cols)]
