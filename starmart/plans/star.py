@@ -192,6 +192,8 @@ def denormalize(
     table: str | None = None,
     hot_share: float | None = None,
     allow_fan_out: bool = False,
+    bucketed: str | None = None,
+    broadcast: str | None = None,
 ) -> DataFrame:
     """Join a table (the fact by default) back with everything it refers to.
 
@@ -200,6 +202,10 @@ def denormalize(
     construction; natural keys are tested first, and ``FanOutError`` is raised if one
     has several rows, since the rows that use it would multiply. ``allow_fan_out``
     asks for just that.
+
+    ``bucketed`` names a dimension laid out like the table (``plans.layout``): it is joined first, by a
+    merge of buckets, with no hot groups split off. ``broadcast`` names one that the caller has
+    counted to be small.
     """
     spec = star.table(table or star.fact.name)
     start = tables[spec.name]
@@ -214,21 +220,26 @@ def denormalize(
             wide.append(target.key)
 
     sizes = {ref.table: tables[ref.table].count() for ref in spec.references}
-    large = [r.column for r in spec.references if hot_share is not None or may_shuffle(tables[r.table])]
+    small = (bucketed, broadcast)
+    large = [r.column for r in spec.references if r.table not in small and (hot_share is not None or may_shuffle(tables[r.table]))]
     hot = frequent_tuples(start, {c: [c] for c in large}, hot_share)
     df = start
     # Large dimensions shuffle the rows: they go first, while the rows are narrow.
-    for ref, added in sorted(joins, key=lambda join: -sizes[join[0].table]):
+    for ref, added in sorted(joins, key=lambda join: (join[0].table != bucketed, -sizes[join[0].table])):
         target = star.table(ref.table)
         if target.natural_key and not allow_fan_out and has_duplicates(tables[ref.table], target.key):
             raise FanOutError(f"several rows of {ref.table} share a {target.key}; allow_fan_out joins them all")
         nested = None
         if target.references:
             nested = denormalize(star, tables, ref.table, hot_share, allow_fan_out)
-        dim = tables[ref.table] if nested is None else nested
+        dim = (tables[ref.table] if nested is None else nested).select(F.col(target.key).alias(ref.column), *added)
+        if ref.table == bucketed:
+            dim = dim.hint("merge")
+        elif ref.table == broadcast:
+            dim = F.broadcast(dim)
         df = lookup(
             df,
-            dim.select(F.col(target.key).alias(ref.column), *added),
+            dim,
             [ref.column],
             added,
             null_safe=False,
