@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators.checks import require_schema
 from starmart.operators.collisions import settled_key
+from starmart.operators.dim_versions import latest_versions
 from starmart.operators.dims import distinct_rows, frequent_shares, frequent_tuples, save_settled_dim
 from starmart.operators.keys import has_duplicates, hash_key, narrowed
 from starmart.operators.lookup import FanOutError, lookup, lookup_keys, may_shuffle
@@ -118,6 +119,7 @@ def build_star(
     only: Sequence[str] | None = None,
     key_bits: int = 64,
     one_shuffle: bool = False,
+    latest: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, DataFrame]:
     """Write the tables of ``star`` in dependency order; return them as read back.
 
@@ -131,6 +133,9 @@ def build_star(
     time, so that a small dimension does not leave the cluster idle. ``null_safe``,
     ``allow_fan_out`` and ``one_shuffle`` are explained at ``resolve_keys``. ``key_bits`` narrows hash keys;
     where hashes collide, ``<dimension>_collisions`` is written, too (``save_settled_dim``).
+
+    ``latest`` names natural-key dimensions of which each key gets one version, that of the row
+    greatest in the wide columns given (``latest_versions``). Without it all versions are written.
     """
     spark = clean.sparkSession
     scratch = workspace(spark)
@@ -164,6 +169,10 @@ def build_star(
                 sides[name] = side
             tables[name] = require_schema(saved, schema)
             return
+        elif name in (latest or {}):
+            attributes = list(dict.fromkeys([spec.key, *star.wide_attributes(name)]))
+            source = scratch.save(f"{name}_rows", latest_versions(wide, spec.key, attributes, latest[name]))
+            rows = resolve_keys(source, star, name, tables, kinds, **matching)
         elif all(kinds.get(r.table, "hash") == "hash" and not r.on for r in spec.references):
             # Keys stand for their attributes, so distinct keys are enough.
             rows = resolve_keys(wide, star, name, tables, kinds, **matching).distinct()

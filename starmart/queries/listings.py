@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions import rules as R
 from starmart.operators.checks import check_star, not_in_list, pk_violations
+from starmart.operators.dim_versions import version_ranges
 from starmart.operators.dims import distinct_rows, extract_dim
 from starmart.operators.key_search import key_table, minimal_keys
 from starmart.operators.profile import candidate_keys
@@ -314,6 +315,41 @@ def listings_two_host_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+_HOST_ATTRIBUTES = [a for a in LISTINGS_STAR.reachable_attributes("host") if a != "host_id"]
+_HOST_STRUCT = "{" + ", ".join(f"'{a}': {a}" for a in _HOST_ATTRIBUTES) + "}"
+_TWO_VERSIONS_CLEAN_SQL = CLEAN_SQL.replace(f"({RAW_LISTINGS_SQL})", f"(SELECT * REPLACE ({_TWO_VERSIONS} AS host_about) FROM ({RAW_LISTINGS_SQL}) r0)")
+
+
+@query(
+    f"""WITH c AS ({_TWO_VERSIONS_CLEAN_SQL}), h AS (
+        SELECT host_id, arg_max({_HOST_STRUCT}, {{'a': last_scraped, 'b': listing_id}}) AS latest FROM c GROUP BY host_id
+    )
+    SELECT listing_id, host_id, {', '.join(f'latest.{a} AS {a}' for a in _HOST_ATTRIBUTES)} FROM c JOIN h USING (host_id)"""
+)
+def listings_host_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts with two versions: every listing joined back with its host's latest one."""
+    raw = raw_listings(spark, sf_dir).withColumn("host_about", F.expr(_TWO_VERSIONS))
+    tables = load_listings(raw, latest={"host": ["last_scraped", "listing_id"]})
+    return denormalize(LISTINGS_STAR, tables).select("listing_id", "host_id", *_HOST_ATTRIBUTES)
+
+
+_RANGES_SQL = f"""WITH r AS (SELECT host_id, last_scraped, {_TWO_VERSIONS} AS host_about FROM ({RAW_LISTINGS_SQL}) r),
+    d AS (SELECT host_id, last_scraped, max(host_about) AS host_about FROM r GROUP BY host_id, last_scraped),
+    s AS (
+        SELECT *, row_number() OVER w = 1 OR lag(host_about) OVER w IS DISTINCT FROM host_about AS new FROM d
+        WINDOW w AS (PARTITION BY host_id ORDER BY last_scraped)
+    )
+    SELECT host_id, host_about, last_scraped AS valid_from,
+           lead(last_scraped) OVER (PARTITION BY host_id ORDER BY last_scraped) AS valid_to FROM s WHERE new"""
+
+
+@query(_RANGES_SQL)
+def listings_host_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of hosts with the scrapes between which they were valid."""
+    raw = raw_listings(spark, sf_dir).withColumn("host_about", F.expr(_TWO_VERSIONS))
+    return version_ranges(raw, "host_id", ["host_about"], "last_scraped")
+
+
 def _broken_sql() -> str:
     repeated = "count(*) FILTER (WHERE id % 20 = 1) + max(CASE WHEN id % 50 = 0 THEN 1 ELSE 0 END)"
     parts = [

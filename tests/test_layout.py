@@ -58,7 +58,7 @@ def test_no_shuffle_of_the_largest_join(spark, wide, layout, conf):
     dims = {n: spark.table(layout.name(n)) for n in STAR.write_order}
     plan = denormalize(STAR, dims, bucketed="big")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan, plan
-    assert plan.count("SelectedBucketsCount: 4 out of 4") == 2
+    assert plan.count("SelectedBucketsCount: 4 out of 4") >= 2
 
 
 def test_no_hot_keys(spark, wide, layout):
