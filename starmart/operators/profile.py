@@ -31,10 +31,10 @@ def _as_text(field: T.StructField, value: Column | None = None) -> Column:
     apart from short texts, so that long documents are not shuffled whole.
     """
     col, dtype = F.col(field.name) if value is None else value, field.dataType
-    if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
-        return (col + F.lit(0.0).cast(dtype)).cast("string")  # -0.0 equals 0.0
+    if _is_float(dtype):
+        return _one_zero(col, dtype).cast("string")
     if isinstance(dtype, T.ArrayType | T.StructType | T.MapType):
-        col = F.to_json(col)
+        col = F.to_json(_one_zero(col, dtype))
     elif isinstance(dtype, T.BinaryType):
         col = F.hex(col)
     elif isinstance(dtype, T.TimestampType):
@@ -46,6 +46,30 @@ def _as_text(field: T.StructField, value: Column | None = None) -> Column:
     return F.when(F.length(col) > _DIGEST_OVER, digest).otherwise(col)
 
 
+def _is_float(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType)
+
+
+def _one_zero(col: Column, dtype: T.DataType) -> Column:
+    """The value with 0.0 for every -0.0 in it: the two are equal."""
+    if _is_float(dtype):
+        return col + F.lit(0.0).cast(dtype)
+    if isinstance(dtype, T.ArrayType) and _has_float(dtype):
+        return F.transform(col, lambda x: _one_zero(x, dtype.elementType))
+    if isinstance(dtype, T.StructType) and _has_float(dtype):
+        fields = F.struct(*[_one_zero(col[f.name], f.dataType).alias(f.name) for f in dtype])
+        return F.when(col.isNotNull(), fields)
+    return col
+
+
+def _has_float(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_float(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_float(f.dataType) for f in dtype)
+    return _is_float(dtype)
+
+
 def value_text(df: DataFrame, col: str, value: Column | None = None) -> Column:
     """A short text of a column, or of ``value`` of its type, that is equal for two values just if they are."""
     return _as_text(df.schema[col], value)
@@ -90,15 +114,12 @@ def profile(
         F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("n_non_null"),
         F.count("value").alias("n_distinct"),
     )
-    names = F.array(*[F.lit(f.name) for f in fields])
-    types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
-    return per_column.select(
-        F.get(names, F.col("i")).alias("column_name"),
-        F.get(types, F.col("i")).alias("type"),
-        "n_rows",
-        "n_non_null",
-        "n_distinct",
+    # From the declared columns, so that an empty table has its rows, too.
+    declared = df.sparkSession.createDataFrame(
+        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)], "i int, column_name string, type string"
     )
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_rows", "n_non_null", "n_distinct")]
+    return F.broadcast(declared).join(per_column, "i", "left").select("column_name", "type", *counts)
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from starmart.operators import profile as P
 from starmart.operators.checks import columns_equal
+from starmart.operators.profile_log import ERROR, ProfileLog
 from starmart.queries.inputs import MESSY_COLUMNS, MESSY_SQL, messy, table
 from starmart.queries.registry import query
+from starmart.sources.store import workspace
 
 _TABLES = ("customer", "orders", "lineitem", "part", "events", "documents")
 
@@ -151,3 +153,26 @@ def _columns_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_tax",
     )
     return columns_equal(both, ("l_shipdate", "l_shipdate_text"), ("l_discount", "l_tax"))
+
+
+_MERGED_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS type, count(*) AS n_rows, count({c}) AS n_non_null,"
+    f" {f'max(length({c}))' if t == 'string' else 'CAST(NULL AS BIGINT)'} AS max_width, TRUE AS distinct_within FROM m"
+    for c, t in _MESSY_TYPE_NAMES.items()
+)
+
+
+@query(f"WITH m AS ({MESSY_SQL}) {_MERGED_SQL}")
+def profile_merged_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of two loads merged: counts and widths as of both together, distinct counts
+    within three standard errors of the exact ones."""
+    rows = messy(spark, sf_dir)
+    log = ProfileLog(spark, workspace(spark).path("profiles"))
+    first = F.col("id") % 2 == 0
+    log.add("first", rows.where(first))
+    log.add("second", rows.where(~first))
+    exact = P.profile(rows).select("column_name", F.col("n_distinct").alias("exact"))
+    within = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 3 * ERROR * F.col("exact"))
+    return log.profile().join(exact, "column_name").select(
+        "column_name", "type", "n_rows", "n_non_null", "max_width", within.alias("distinct_within")
+    )
