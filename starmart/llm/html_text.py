@@ -54,10 +54,13 @@ APART = (
     "nav menu header masthead footer foot sidebar side aside ad ads advert banner promo sponsor cookie consent"
     " notice alert comment comments reply respond discuss share social related recommend form login signin"
     " newsletter subscribe breadcrumb widget popup modal toolbar pagination pager tag tags meta search copyright"
+    " disqus thread gdpr privacy kommentare commentaires comentarios werbung anzeige publicite publicidad hinweis aviso"
 ).split()
 MAIN = "article content post entry story main body text".split()
 _NAME = re.compile(r"[A-Za-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+# Log potential of a state that a node cannot have.
+_NEVER = -1e6
 # How often each written page counts.
 WRITTEN = 4
 
@@ -77,6 +80,8 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.page, self.open = Page(), [0]
+        # Open elements by tag: no stack is walked for an end that has no start.
+        self.opened: Counter = Counter()
         self._add("#root", -1)
 
     def _add(self, tag: str, parent: int, name: str = "", text: str = "", label: str | None = None) -> int:
@@ -85,11 +90,17 @@ class _Builder(HTMLParser):
             values.append(value)
         return len(p.tags) - 1
 
+    def _close_from(self, k: int) -> None:
+        self.opened.subtract(self.page.tags[node] for node in self.open[k:])
+        del self.open[k:]
+
     def _close(self, ends: frozenset, bounds: frozenset) -> None:
+        if not any(self.opened[tag] for tag in ends):
+            return
         for k in range(len(self.open) - 1, 0, -1):
             tag = self.page.tags[self.open[k]]
             if tag in ends:
-                del self.open[k:]
+                self._close_from(k)
                 return
             if tag in bounds:
                 return
@@ -104,6 +115,7 @@ class _Builder(HTMLParser):
         node = self._add(tag, self.open[-1], name, label=given.get("data-label"))
         if tag not in VOID:
             self.open.append(node)
+            self.opened[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -111,9 +123,11 @@ class _Builder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        if not self.opened[tag]:
+            return
         for k in range(len(self.open) - 1, 0, -1):
             if self.page.tags[self.open[k]] == tag:
-                del self.open[k:]
+                self._close_from(k)
                 return
 
     def handle_data(self, data):
@@ -223,13 +237,17 @@ class Model:
         evidence, edges = features(page)
         none = (0.0, 0.0)
         own = []
-        for found in evidence:
+        # Nothing inside an element that is not rendered is content, whatever was learned.
+        unseen = [False] * len(evidence)
+        for k, found in enumerate(evidence):
+            unseen[k] = page.tags[k] in UNSEEN or (k > 0 and unseen[page.parents[k]])
             seen = [self.evidence.get(e, none) for e in found]
-            own.append((sum(x[0] for x in seen), sum(x[1] for x in seen)))
+            own.append((sum(x[0] for x in seen), _NEVER if unseen[k] else sum(x[1] for x in seen)))
         same = ((math.log(0.9), math.log(0.1)), (math.log(0.1), math.log(0.9)))
         tied = []
-        for e in edges:
-            found = self.edges.get(e)
+        for k, e in enumerate(edges):
+            # What is not rendered says nothing about the element it stands in.
+            found = ((0.0, 0.0), (0.0, 0.0)) if unseen[k] else self.edges.get(e)
             tied.append(found or next((self.edges[k] for k in _edge_keys(e)[1:] if k in self.edges), same))
         return own, tied
 
@@ -259,13 +277,18 @@ def _edge_keys(edge: tuple) -> list[tuple]:
 
 
 def blocks(page: Page, content: list[float], least: float = 0.5) -> list[str]:
-    """Text of the content nodes: white space is one blank, block elements set off blocks."""
+    """Text of the content nodes: white space is one blank, block elements set off blocks.
+
+    A block element between two texts sets them apart even if nothing in it is content; what is not
+    rendered (``UNSEEN``) does not.
+    """
     block_of = [0] * len(page.tags)
     found, run, before = [], [], None
     for k, tag in enumerate(page.tags):
         up = page.parents[k]
-        block_of[k] = k if tag not in INLINE and tag not in VOID else (block_of[up] if up >= 0 else 0)
-        if tag == "hr":
+        block = tag not in INLINE and tag not in VOID and tag not in UNSEEN
+        block_of[k] = k if block else (block_of[up] if up >= 0 else 0)
+        if block or tag == "hr":
             before = None
         if tag == "br" and run:
             run.append(" ")
@@ -378,9 +401,10 @@ def learn(pages: DataFrame, sample: int = SAMPLE) -> Model:
 def main_text(pages: DataFrame, model: Model, html: str = "html") -> DataFrame:
     """``pages`` without the html, with ``text`` and ``n_chars``; rows depend on their page alone.
 
-    NULL and empty pages, and pages without content, have an empty text.
+    NULL and empty pages, and pages without content, have an empty text. Columns of ``pages`` that
+    are named like the two new ones give way to them.
     """
-    rest = [c for c in pages.columns if c != html]
+    rest = [c for c in pages.columns if c.lower() not in (html.lower(), "text", "n_chars")]
 
     def run(batches):
         for batch in batches:
