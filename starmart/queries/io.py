@@ -27,6 +27,13 @@ def _database(spark: SparkSession) -> str:
     return name
 
 
+def _finished(df: DataFrame, database: str) -> DataFrame:
+    """The rows of ``df``, written, and the database it reads from dropped: a lasting catalog keeps nothing."""
+    saved = workspace(df.sparkSession).save("rows", df)
+    df.sparkSession.sql(f"DROP DATABASE {database} CASCADE")
+    return saved
+
+
 @query(MESSY_SQL)
 def src_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes, commas, NULLs and empty texts survive writing and reading CSV."""
@@ -90,7 +97,7 @@ def load_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = TableStore(_database(spark))
     store.save("orders", table(spark, sf_dir, "orders"))
-    return catalog.scan_table(spark, "orders", store.database)
+    return _finished(catalog.scan_table(spark, "orders", store.database), store.database)
 
 
 @query(
@@ -104,7 +111,7 @@ def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     assert f"{database}.part" in found and f"{database}.supplier" in found
     part, supplier = spark.table(f"{database}.part"), spark.table(f"{database}.supplier")
     parts = part.select(F.lit("part").alias("kind"), F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
-    return parts.union(supplier.select(F.lit("supplier"), "s_suppkey", "s_name"))
+    return _finished(parts.union(supplier.select(F.lit("supplier"), "s_suppkey", "s_name")), database)
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders")
@@ -115,9 +122,10 @@ def database_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     assert database in catalog.list_databases(spark)
     catalog.use_database(spark, database)
     try:
-        return spark.table("orders").select("o_orderkey", "o_custkey")
+        orders = spark.table("orders").select("o_orderkey", "o_custkey")
     finally:
         catalog.use_database(spark, before)
+    return _finished(orders, database)
 
 
 @query(
@@ -129,10 +137,11 @@ def ddl_create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _database(spark)
     catalog.create_star_tables(spark, ORDERS_STAR, database)
     build_star(wide(spark, sf_dir), ORDERS_STAR, TableStore(database))
-    return spark.sql(
+    found = spark.sql(
         f"""SELECT c_custkey, n_nationkey, c_name, c_acctbal, c_mktsegment
         FROM {database}.customer LEFT JOIN {database}.segment USING (segment_id)"""
     )
+    return _finished(found, database)
 
 
 @query(

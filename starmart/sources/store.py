@@ -11,9 +11,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import suppress
 from dataclasses import dataclass, field
 from typing import Protocol
 
+from py4j.protocol import Py4JError
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -43,10 +46,14 @@ class FolderStore:
     def load(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.path(name))
 
-    def drop(self, spark: SparkSession) -> None:
-        """Delete the folder with all its tables."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.base)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, spark: SparkSession, name: str | None = None) -> None:
+        """Delete one table, or the folder with all its tables."""
+        _delete(self.base if name is None else self.path(name), spark._jsc.hadoopConfiguration())
+
+
+def _delete(path: str, hadoop_configuration) -> None:
+    at = SparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(hadoop_configuration).delete(at, True)
 
 
 @dataclass
@@ -77,8 +84,9 @@ class TableStore:
         return spark.table(self.name(name))
 
 
-# Folders this process made for intermediate tables and has not removed yet.
-_OPEN: list[tuple[SparkSession, FolderStore]] = []
+# Folders this process made for intermediate tables and has not removed yet, with the
+# configuration by which they are reached: it outlives the session.
+_OPEN: dict[str, object] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -102,21 +110,27 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def owned(spark: SparkSession, path: str) -> str:
+    """Have ``path`` removed by ``close_workspaces``, at the latest when the process ends."""
+    _OPEN[path] = spark._jsc.hadoopConfiguration()
+    return path
+
+
 def workspace(spark: SparkSession) -> FolderStore:
     """A new store for intermediate tables in the shared folder.
 
     It belongs to this process: ``close_workspaces`` removes it, at the latest
-    when the process ends. Frames that read from it must be consumed before.
+    when the process ends, whether the session still runs or was stopped. Frames that read
+    from it must be consumed before.
     """
-    store = FolderStore(f"{shared_dir(spark).rstrip('/')}/starmart/{uuid.uuid4().hex}", "error")
-    _OPEN.append((spark, store))
-    return store
+    return FolderStore(owned(spark, f"{shared_dir(spark).rstrip('/')}/starmart/{uuid.uuid4().hex}"), "error")
 
 
 @atexit.register
 def close_workspaces() -> None:
-    """Remove all workspaces of this process whose session still runs."""
+    """Remove all workspaces of this process, and the folders its contexts checkpointed to."""
     while _OPEN:
-        spark, store = _OPEN.pop()
-        if spark.sparkContext._jsc is not None:
-            store.drop(spark)
+        path, hadoop_configuration = _OPEN.popitem()
+        # Without the JVM, or if the folder cannot be reached any more, it stays.
+        with suppress(Py4JError, OSError):
+            _delete(path, hadoop_configuration)
