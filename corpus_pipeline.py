@@ -53,9 +53,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again.
+
+    A stage's rows are removed once those of the next are written.
+    """
     store = workspace(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = store.save(name, stage(spark, docs, sf_dir))
+        if before:
+            store.drop(spark, before)
+        before = name
     return docs

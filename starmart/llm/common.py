@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.sources.store import shared_dir
+from starmart.sources.store import owned, shared_dir
 
 # White space of the contracts: blank, tab to carriage return. Words are what is left.
 SPACE = " \t\n\x0b\x0c\r"
@@ -21,11 +21,14 @@ def keep(df: DataFrame) -> DataFrame:
 
     What was written does not change when an executor is lost. Spark removes the
     files once nothing refers to them, if
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set; without it the
+    context's own checkpoint folder goes with the workspaces, when the process ends.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
+    # A folder of this context alone, below the one that was named.
+    owned(df.sparkSession, context.getCheckpointDir())
     return df.checkpoint()
 
 

@@ -49,7 +49,7 @@ class DigestIndex:
 
     @classmethod
     def temporary(cls, spark: SparkSession, id_type: str = "bigint") -> DigestIndex:
-        """An empty index in the shared folder, gone when the process ends."""
+        """An empty index in the shared folder; ``drop`` it, or a lasting catalog keeps its name."""
         name = f"digests_{uuid.uuid4().hex}"
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         return cls.create(spark, name, workspace(spark).path(name), buckets, id_type)
@@ -57,6 +57,10 @@ class DigestIndex:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def drop(self) -> None:
+        """Take the table out of the catalog; the files stay at ``path``."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def unseen(self, groups: DataFrame) -> DataFrame:
         """The rows of ``groups``, one per digest, that the index does not have."""
         known = self.read().select("digest")
@@ -92,6 +96,9 @@ def deduplicate(rows: DataFrame, index: DigestIndex) -> DataFrame:
     in id and text are one group like any other, of which one row stays. A NULL id
     loses to any other; ``keep_id`` is NULL only where all ids of a group are.
 
+    A batch that is run twice against a kept index has all its texts there already, so none of its rows
+    stays: whoever repeats a batch starts from the index as it was.
+
     The groups are written before they meet the index, so the append reads no
     table that it changes. A group that holds a third of all rows collapses before
     it is shuffled, and its rows are split when they get their group back.
@@ -122,4 +129,6 @@ def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     same = (F.col("s.digest") == F.col("n.digest")) & F.col("s.id").eqNullSafe(F.col("n.id"))
     picks = stays.alias("s").join(counted.alias("n"), same)
     picks = picks.select("s.id", F.col("s.digest").alias("mark"), "n.rows", F.lit(1).alias("copies"))
-    return take_rows(docs, keep(picks), doc_id, digest(F.col(text)))
+    picks = keep(picks)
+    index.drop()
+    return take_rows(docs, picks, doc_id, digest(F.col(text)))

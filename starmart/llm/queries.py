@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm import bpe, chat, exact_dedup, hardneg, html_text, langid, licenses, mixing, quality, repair, secrets, simhash, topk
-from starmart.llm.common import table
+from starmart.llm.common import keep, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,7 +53,10 @@ def op1_simhash(spark, sf_dir):
 )
 def op2_exact_dedup(spark, sf_dir):
     rows = exact_dedup.digests(table(spark, sf_dir, "documents"))
-    return exact_dedup.deduplicate(rows, exact_dedup.DigestIndex.temporary(spark))
+    index = exact_dedup.DigestIndex.temporary(spark)
+    found = keep(exact_dedup.deduplicate(rows, index))
+    index.drop()
+    return found
 
 
 @query(
