@@ -9,6 +9,7 @@ from starmart.functions.text import (
     number_and_description,
     percent_fraction,
     replace_text,
+    sharing,
     text_width,
     to_date,
     when_contains,
@@ -23,6 +24,7 @@ __all__ = [
     "number_and_description",
     "percent_fraction",
     "replace_text",
+    "sharing",
     "text_width",
     "to_date",
     "when_contains",

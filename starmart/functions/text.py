@@ -88,6 +88,12 @@ def labels_to_bits(col: Column, labels: Sequence[str], match: str = "member") ->
     return F.when(col.isNotNull(), bits)
 
 
+def sharing(col: Column, private: str = "private", shared: str = "shared") -> Column:
+    """``private`` if the text says so, ignoring case; any other text is ``shared``; NULL stays."""
+    says = F.contains(F.lower(col), F.lit(private.lower()))
+    return F.when(says, F.lit(private)).when(col.isNotNull(), F.lit(shared))
+
+
 def first_word_class(col: Column, classes: Mapping[str, str], default: str) -> Column:
     """Class by the first blank-separated word, ignoring case; else ``default``."""
     word = F.lower(F.substring_index(F.trim(col), " ", 1))

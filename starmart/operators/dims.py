@@ -14,6 +14,8 @@ from starmart.sources.store import Store, workspace
 
 # Sketches are first merged within this many groups of tasks.
 _SKETCH_GROUPS = 128
+# Groups of fewer rows burden no task, however many tasks there are; they are not hot of themselves.
+_LEAST_ROWS = 1_000
 # A sketch holds four tuples for each that may be found, a million at most.
 _LEAST_SHARE = 4e-6
 
@@ -101,7 +103,7 @@ def frequent_shares(
     of all rows, each with its share.
 
     Without ``share`` a tuple counts that has more rows than an eighth of what a task gets on
-    average: one of 8 times the shuffle partitions. As these grow with the data, so
+    average, one of 8 times the shuffle partitions, and a thousand rows. As the partitions grow with the data, so
     do the tuples sought, and no task's load depends on the data's size.
 
     Takes several sets of columns and finds all of them in one scan: a frequent-items
@@ -113,8 +115,10 @@ def frequent_shares(
     """
     if not tuples:
         return {}
+    floor = 2
     if share is None:
         share = 1 / (8 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        floor = _LEAST_ROWS
     share = max(share, _LEAST_SHARE)
     most = math.ceil(1 / share)
     size = F.lit(4 * most)
@@ -135,5 +139,5 @@ def frequent_shares(
     )
     if found is None:
         return {name: {} for name in tuples}
-    least = max(2, found["_rows"] * share)
+    least = max(floor, found["_rows"] * share)
     return {name: {t["item"]: t["count"] / found["_rows"] for t in found[name] if t["count"] >= least} for name in tuples}

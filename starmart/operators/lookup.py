@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -116,12 +117,14 @@ def lookup(
         right = right.withColumn("_rh", hash_key(stored))
         condition = (F.col("_lh") == F.col("_rh")) & condition
     if hot:
-        is_hot = F.col("_rh").isin(*hot)
-        few = right.where(is_hot)
+        # As a table: 8 hashes a task would make a long plan of literals.
+        hashes = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hot], "_hot_hash long"))
+        is_hot = F.col("_rh") == F.col("_hot_hash")
+        few = right.join(hashes, is_hot, "left_semi")
         if few.limit(_MOST_HOT_ROWS + 1).count() <= _MOST_HOT_ROWS:
-            return _join_hot_apart(left, right.where(~is_hot), few, condition, how, hot, spread_by).select(
-                *df.columns, *found
-            )
+            rest = right.join(hashes, is_hot, "left_anti")
+            return _join_hot_apart(left, rest, few, condition, how, hashes, spread_by).select(*df.columns, *found)
+        warnings.warn(f"over {_MOST_HOT_ROWS} dimension rows are hot in {list(cols)}: left to adaptive execution", stacklevel=2)
     return left.join(right, condition, how).select(*df.columns, *found)
 
 
@@ -131,7 +134,7 @@ def _join_hot_apart(
     few: DataFrame,
     condition: Column,
     how: str,
-    hot: Sequence[int],
+    hashes: DataFrame,
     spread_by: Sequence[str],
 ) -> DataFrame:
     """Join with the hot rows ``few`` by broadcast, then with ``rest`` by shuffle.
@@ -139,7 +142,8 @@ def _join_hot_apart(
     Both have the columns ``_rh``, ``_d…`` and ``_v…`` that ``condition`` names. Hot rows
     of ``left`` meet nothing in ``rest``: a random place stands for their hash there.
     """
-    marked = left.withColumn("_hot", F.col("_lh").isin(*hot))
+    marked = left.join(hashes, F.col("_lh") == F.col("_hot_hash"), "left")
+    marked = marked.select(*left.columns, F.col("_hot_hash").isNotNull().alias("_hot"))
     place = F.when(F.col("_hot"), F.xxhash64(*spread_by)).otherwise(F.col("_lh"))
     values = [c for c in few.columns if c.startswith("_v")]
     first = marked.join(F.broadcast(few.withColumn("_met", F.lit(True))), condition, "left").select(

@@ -263,6 +263,9 @@ PARTIAL_KEYS = {
     "neighbourhoods": ("neighbourhood", "neighbourhood_cleansed"),
 }
 
+# The other column pair by which one published variant finds neighbourhoods.
+OVERVIEW_KEY = ("neighbourhood_overview", "neighbourhood_cleansed")
+
 RAW_SCHEMA = struct_of(RAW_COLUMNS)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import partial, reduce
 from itertools import combinations
 
@@ -21,6 +22,7 @@ from starmart.plans.listings import (
     FLAG_COLUMNS,
     LISTINGS_STAR,
     NEIGHBOURHOODS,
+    OVERVIEW_KEY,
     PARTIAL_KEYS,
     RAW_COLUMNS,
     clean_listings,
@@ -176,12 +178,8 @@ def listings_fact_as_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     )["listings"]
 
 
-_FAN_OUT_STAR = with_partial_keys(LISTINGS_STAR, PARTIAL_KEYS)
-
-
-def _fan_out_sql() -> str:
-    """All three shorter keys: listings by the neighbourhoods of their pair of names."""
-    pair = PARTIAL_KEYS["neighbourhoods"]
+def _fan_out_sql(pair: Sequence[str]) -> str:
+    """All three shorter keys: listings by the neighbourhoods of their pair of columns."""
     attributes = LISTINGS_STAR.table("neighbourhoods").attribute_names
     facts = _partial_sql().replace("SELECT ", f"SELECT {', '.join(pair)}, ", 1)
     dim = O.dim(clean_sql(published=True), attributes, "found_id")
@@ -193,13 +191,12 @@ def _fan_out_sql() -> str:
     return f"SELECT {listed} FROM ({facts}) f LEFT JOIN ({dim}) n ON {match}"
 
 
-@query(_fan_out_sql())
-def listings_fact_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published rules in full: a listing comes once for each neighbourhood of its pair of names."""
+def _fan_out(pair: Sequence[str], spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published rules in full: a listing comes once for each neighbourhood of its pair of columns."""
     return load_listings(
         raw_listings(spark, sf_dir),
         rules=AS_PUBLISHED,
-        star=_FAN_OUT_STAR,
+        star=with_partial_keys(LISTINGS_STAR, PARTIAL_KEYS | {"neighbourhoods": pair}),
         key_kind="dense",
         null_safe=False,
         allow_fan_out=True,
@@ -207,6 +204,13 @@ def listings_fact_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     )["listings"]
 
 
+for _name, _pair in (
+    ("listings_fact_fan_out", PARTIAL_KEYS["neighbourhoods"]),
+    ("listings_fact_fan_out_overview", OVERVIEW_KEY),
+):
+    query(_fan_out_sql(_pair), _name)(partial(_fan_out, _pair))
+
+
 def _no_key_sql() -> str:
     parts = []
     for ref in _PARTIAL_STAR.fact.references:

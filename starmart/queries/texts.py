@@ -14,6 +14,7 @@ from starmart.functions import (
     number_and_description,
     percent_fraction,
     replace_text,
+    sharing,
     to_date,
     when_contains,
 )
@@ -133,11 +134,7 @@ def classify_part_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def bath_sharing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shared unless the text says otherwise."""
-    text = F.lower("bathrooms_text")
-    sharing = F.when(F.contains(text, F.lit("private")), "private").when(
-        text.isNotNull(), "shared"
-    )
-    return messy(spark, sf_dir).select("id", sharing.alias("sharing"))
+    return messy(spark, sf_dir).select("id", sharing(F.col("bathrooms_text")).alias("sharing"))
 
 
 _BATHS_SQL = O.half_bath("bathrooms_text", R.HALF_BATH_TEXTS)
