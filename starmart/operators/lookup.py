@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
@@ -25,9 +27,11 @@ class FanOutError(ValueError):
 def common_types(df: DataFrame, dim: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> list[T.DataType]:
     """The type in which each pair of key columns is hashed and compared.
 
-    Spark's own widening: INT and BIGINT meet in BIGINT, decimals in one that holds
-    both. Raises ``TypeError`` where a pair has no common type; a text and a
-    number have none.
+    Spark's own widening: INT and BIGINT meet in BIGINT, decimals in a wider one,
+    BIGINT and DOUBLE in DOUBLE. Where the type does not hold all values of a side
+    (DOUBLE beyond 2^53, decimals that would need over 38 digits), ``lookup`` leaves those
+    that it changes without a match. Raises ``TypeError`` where a pair has no common
+    type; a text and a number have none.
     """
     types = []
     for a, b in zip(cols, keys, strict=True):
@@ -45,10 +49,54 @@ def common_types(df: DataFrame, dim: DataFrame, cols: Sequence[str], keys: Seque
     return types
 
 
+# Decimal digits that hold any value of an integral type.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+# Integral types all of whose values a floating-point type holds.
+_EXACT_IN = {T.FloatType: (T.ByteType, T.ShortType), T.DoubleType: (T.ByteType, T.ShortType, T.IntegerType, T.FloatType)}
+
+
+def _holds(wide: T.DataType, own: T.DataType) -> bool:
+    """Whether each value of type ``own`` is one of ``wide``, where ``wide`` is a common type of both sides."""
+    if wide == own or not (isinstance(wide, T.NumericType) and isinstance(own, T.NumericType)):
+        return True
+    if type(wide) in _EXACT_IN:
+        return type(own) in _EXACT_IN[type(wide)]
+    if not isinstance(wide, T.DecimalType):
+        return True
+    digits, scale = (own.precision - own.scale, own.scale) if isinstance(own, T.DecimalType) else (_DIGITS.get(type(own), 39), 0)
+    return wide.scale >= scale and wide.precision - wide.scale >= digits
+
+
+def _compared(col: Column, own: T.DataType, wide: T.DataType) -> tuple[Column, Column | None]:
+    """``col`` in type ``wide``, and whether it kept its value (None: it always does).
+
+    It did if casting back gives it again. 2^63 - 1 becomes 2^63 as a floating-point
+    number and is cut to 2^63 - 1 on the way back, so it is named.
+    """
+    if _holds(wide, own):
+        return col.cast(wide), None
+    given = col.try_cast(wide)
+    same = F.coalesce(given.try_cast(own) == col, col.isNull())
+    if isinstance(own, T.LongType) and isinstance(wide, T.FractionalType):
+        same = same & (col.isNull() | (col != F.lit((1 << 63) - 1)))
+    return given, same
+
+
+def _compared_all(df: DataFrame, cols: Sequence[str], types: Sequence[T.DataType]) -> tuple[list[Column], Column | None]:
+    pairs = [_compared(F.col(c), df.schema[c].dataType, t) for c, t in zip(cols, types, strict=True)]
+    kept = [same for _, same in pairs if same is not None]
+    return [value for value, _ in pairs], reduce(and_, kept) if kept else None
+
+
 def lookup_keys(df: DataFrame, dim: DataFrame, cols: Sequence[str]) -> list[Column]:
     """``cols`` of ``df`` in the types in which ``lookup`` hashes and compares them."""
-    types = common_types(df, dim, cols, cols)
-    return [F.col(c).cast(t) for c, t in zip(cols, types, strict=True)]
+    return _compared_all(df, cols, common_types(df, dim, cols, cols))[0]
+
+
+def lookup_hash(df: DataFrame, dim: DataFrame, cols: Sequence[str]) -> Column:
+    """The hash by which ``lookup`` finds a tuple; NULL if the other side can hold no equal one."""
+    keys, same = _compared_all(df, cols, common_types(df, dim, cols, cols))
+    return hash_key(keys) if same is None else F.when(same, hash_key(keys))
 
 
 def _match(left: Sequence[Column], right: Sequence[Column], null_safe: bool) -> Column:
@@ -81,7 +129,7 @@ def lookup(
     condition and decide.
 
     Key columns of different types are compared, and hashed, in their common type
-    (``common_types``), so values match as they do with ``==``.
+    (``common_types``); a value that this type cannot hold, on either side, matches nothing.
 
     ``check_unique`` first makes sure that ``cols`` identify a dimension row, since
     otherwise rows of ``df`` would multiply; ``allow_fan_out`` asks for just that.
@@ -108,10 +156,12 @@ def lookup(
     if hot and not spread_by:
         raise ValueError("hot lookups need spread_by: columns that vary within a hot group")
     types = common_types(df, slim, cols, keys)
-    given = [F.col(c).cast(t) for c, t in zip(cols, types, strict=True)]
-    stored = [F.col(k).cast(t) for k, t in zip(keys, types, strict=True)]
+    given, kept = _compared_all(df, cols, types)
+    stored, found_again = _compared_all(slim, keys, types)
     condition = _match(given, stored, null_safe)
-    left, right = df, slim
+    if kept is not None:
+        condition = condition & kept
+    left, right = df, slim if found_again is None else slim.where(found_again)
     if len(cols) > 1 or hot:
         left = left.withColumn("_lh", hash_key(given))
         right = right.withColumn("_rh", hash_key(stored))

@@ -15,7 +15,7 @@ from starmart.operators.collisions import settled_key
 from starmart.operators.dim_versions import latest_versions
 from starmart.operators.dims import distinct_rows, frequent_shares, frequent_tuples, save_settled_dim
 from starmart.operators.keys import has_duplicates, hash_key, narrowed
-from starmart.operators.lookup import FanOutError, lookup, lookup_keys, may_shuffle
+from starmart.operators.lookup import FanOutError, lookup, lookup_hash, lookup_keys, may_shuffle
 from starmart.operators.lookup_all import lookup_all
 from starmart.sources.store import Store, workspace
 from starmart.spec import Star
@@ -78,13 +78,14 @@ def resolve_keys(
     for ref, attributes in looked_up:
         dim = tables[ref.table].withColumnRenamed(star.table(ref.table).key, ref.column)
         given, tuple_hash = lookup_keys(df, dim, attributes), f"_tuple_{ref.column}"
-        by_hash = dim.select(hash_key(lookup_keys(dim, df, attributes)).alias(tuple_hash), ref.column, *attributes)
+        by_hash = dim.select(lookup_hash(dim, df, attributes).alias(tuple_hash), ref.column, *attributes)
         by_tuple = has_duplicates(by_hash, tuple_hash)
         if by_tuple:
             keys, options = attributes, {"null_safe": null_safe, "check_unique": bool(ref.on), "allow_fan_out": allow_fan_out}
         else:
-            computed.append(hash_key(given).alias(tuple_hash))
-            keys, options, given = [tuple_hash], {"null_safe": False}, [hash_key(given)]
+            by_lookup = lookup_hash(df, dim, attributes)
+            computed.append(by_lookup.alias(tuple_hash))
+            keys, options, given = [tuple_hash], {"null_safe": False}, [by_lookup]
             # No row finds what a NULL keeps from being found.
             dim = (by_hash if null_safe else by_hash.dropna(subset=attributes)).select(tuple_hash, ref.column)
         if hot_share is not None or may_shuffle(dim):

@@ -80,6 +80,36 @@ def lookup_mixed_types_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("o_orderkey", "first_order")
 
 
+@query(
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey END AS found,
+           CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS found_decimal
+    FROM orders
+    """
+)
+def lookup_wide_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys beyond what the common type holds: a neighbour that it rounds to is no match.
+
+    BIGINT keys from 2^53 on, two thirds of them odd, meet DOUBLE ones, which step by 2 there. DECIMAL(38,0) keys meet
+    DECIMAL(38,20) ones, every second of them off by 10^-20.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    far = 1 << 53
+    # Even numbers from 2^53 on are DOUBLEs, odd ones are not: doubled keys are, and one more is rounded.
+    wide = orders.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") * 2 + far).otherwise(F.col("o_orderkey") * 2 + (far + 1)).alias("k"),
+        F.col("o_orderkey").cast("decimal(38,0)").alias("d"),
+    )
+    doubles = orders.select((F.col("o_orderkey") * 2 + far).cast("double").alias("k"), F.col("o_orderkey").alias("found"))
+    # As a text: a sum of decimals would lose the last digit.
+    off = F.when(F.col("o_orderkey") % 2 == 0, ".0").otherwise(".00000000000000000001")
+    exact = F.concat(F.col("o_orderkey").cast("string"), off).cast("decimal(38,20)")
+    decimals = orders.select(exact.alias("d"), F.col("o_orderkey").alias("found_decimal"))
+    once = lookup(wide, doubles, ["k"], "found")
+    return lookup(once, decimals, ["d"], "found_decimal").select("o_orderkey", "found", "found_decimal")
+
+
 _NO_NULLS = " AND ".join(f"{c} IS NOT NULL" for c in STAY)
 
 

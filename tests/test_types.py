@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from starmart.operators.casting import integer_text, number_text
 from starmart.operators.dims import frequent_tuples
-from starmart.operators.lookup import FanOutError, lookup, lookup_keys, lookup_large
+from starmart.operators.keys import hash_key
+from starmart.operators.lookup import FanOutError, lookup, lookup_hash, lookup_keys, lookup_large
 from starmart.operators.profile import profile
 from starmart.plans.orders import ORDERS_STAR
 from starmart.plans.star import build_star, denormalize
@@ -33,6 +34,39 @@ def test_hot_tuples_are_found_in_the_common_type(spark):
     assert found.where("v = 'x'").count() == 1000
 
 
+WIDE = [
+    # BIGINT and DOUBLE: 2^53 + 1 rounds to 2^53, 2^63 - 1 to 2^63.
+    ("long", "double", (1 << 53) + 1, float(1 << 53), False),
+    ("long", "double", 1 << 53, float(1 << 53), True),
+    ("long", "double", (1 << 63) - 1, float(1 << 63), False),
+    ("double", "long", float(1 << 53), (1 << 53) + 1, False),
+    ("double", "long", 1e300, 1, False),
+    ("int", "float", (1 << 24) + 1, float(1 << 24), False),
+    ("decimal(38,0)", "decimal(38,20)", Decimal(1), Decimal("1.00000000000000000001"), False),
+    ("decimal(38,20)", "decimal(38,0)", Decimal("1.00000000000000000001"), Decimal(1), False),
+    ("decimal(38,0)", "decimal(38,20)", Decimal(7), Decimal(7), True),
+    ("decimal(38,0)", "decimal(38,20)", Decimal(10**37), Decimal(1), False),
+    ("long", "double", None, None, True),
+]
+
+
+@pytest.mark.parametrize("left_type, right_type, a, b, same", WIDE)
+@pytest.mark.parametrize("hot", [False, True])
+def test_values_that_no_common_type_holds_match_nothing(spark, left_type, right_type, a, b, same, hot):
+    left = spark.createDataFrame([(a, 1)], f"k {left_type}, id int")
+    right = spark.createDataFrame([(b, "x")], f"k {right_type}, v string")
+    hashes = [r[0] for r in left.select(hash_key(lookup_keys(left, right, ["k"]))).collect()] if hot else ()
+    found = lookup(left, right, ["k"], "v", hot=hashes, spread_by=["id"]).collect()
+    assert [(r["k"], r["v"]) for r in found] == [(a, "x" if same else None)]
+    hashed = [df.select(lookup_hash(df, other, ["k"]).alias("h")).first()["h"] for df, other in ((left, right), (right, left))]
+    assert (None not in hashed and hashed[0] == hashed[1]) == same
+
+
+def test_types_that_hold_all_values_need_no_test(spark):
+    left, right = spark.range(2).select(F.col("id").cast("int").alias("k")), spark.range(2).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    assert "try_cast" not in lookup(left, right, ["k"], "v")._jdf.queryExecution().toString().lower()
+
+
 def test_text_and_number_have_no_common_type(spark):
     left = spark.createDataFrame([("1",)], "a string")
     right = spark.createDataFrame([(1, 2)], "a int, v int")
