@@ -14,6 +14,7 @@ from starmart.plans.star import build_star, denormalize
 from starmart.queries.inputs import MESSY_SQL, WIDE_SQL, messy, table, wide
 from starmart.queries.registry import query
 from starmart.sources import catalog
+from starmart.sources.crawl import crawl, drift
 from starmart.sources.delimited import load_delimited, read_csv, write_csv
 from starmart.sources.store import FolderStore, TableStore, workspace
 from starmart.sources.versions import Versions
@@ -114,6 +115,51 @@ def catalog_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(parts.union(supplier.select(F.lit("supplier"), "s_suppkey", "s_name")), database)
 
 
+# Three loads of one table: a key that widens, a column that comes later.
+_LOADS = {
+    "first": ("o_orderkey % 3 = 0", ["o_orderkey", "CAST(o_custkey AS INT) AS o_custkey", "o_orderstatus"]),
+    "second": ("o_orderkey % 3 = 1", ["o_orderkey", "CAST(o_custkey AS BIGINT) AS o_custkey", "o_orderstatus", "o_orderpriority"]),
+    "third": ("o_orderkey % 3 = 2", ["o_orderkey", "CAST(o_custkey AS DECIMAL(12,2)) AS o_custkey", "o_orderpriority", "o_orderstatus"]),
+}
+
+
+def _drifted_lake(spark: SparkSession, sf_dir: str) -> str:
+    store = FolderStore(workspace(spark).path("lake"))
+    for name, (rows, cols) in _LOADS.items():
+        store.save(name, table(spark, sf_dir, "orders").where(rows).selectExpr(*cols))
+    return store.base
+
+
+@query(
+    """
+    WITH n AS (
+        SELECT count(*) AS rows, count(*) FILTER (o_orderkey % 3 = 0) AS a, count(*) FILTER (o_orderkey % 3 = 1) AS b,
+               count(*) FILTER (o_orderkey % 3 = 2) AS c FROM orders
+    )
+    SELECT 'o_orderkey' AS column_name, 'bigint' AS type, rows, 'bigint' AS common_type, 0::BIGINT AS missing_rows FROM n
+    UNION ALL SELECT 'o_custkey', 'int', a, 'decimal(22,2)', 0 FROM n
+    UNION ALL SELECT 'o_custkey', 'bigint', b, 'decimal(22,2)', 0 FROM n
+    UNION ALL SELECT 'o_custkey', 'decimal(12,2)', c, 'decimal(22,2)', 0 FROM n
+    UNION ALL SELECT 'o_orderstatus', 'string', rows, 'string', 0 FROM n
+    UNION ALL SELECT 'o_orderpriority', 'string', b + c, 'string', a FROM n
+    """
+)
+def crawl_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What drifted between three loads into one folder, from all files' footers."""
+    return drift(spark, _drifted_lake(spark, sf_dir)).drop("files")
+
+
+@query(
+    """SELECT o_orderkey, CAST(o_custkey AS DECIMAL(22,2)) AS o_custkey, o_orderstatus,
+    CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END AS o_orderpriority FROM orders"""
+)
+def crawl_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three loads read as one table of the types that hold all of them."""
+    database = _database(spark)
+    crawl(spark, _drifted_lake(spark, sf_dir), f"{database}.orders")
+    return _finished(spark.table(f"{database}.orders"), database)
+
+
 @query("SELECT o_orderkey, o_custkey FROM orders")
 def database_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A database is made, listed and used: its table is found by its bare name."""
