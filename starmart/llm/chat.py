@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 TRAINED_ROLE = "assistant"
 
 
+def _escaped(text: Column) -> Column:
+    """A backslash after each < before a bar or backslash: no text holds what opens a turn, and each can be had back."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"<([|\\])", r"<\\$1")
+
+
+def _role(role: Column) -> Column:
+    return F.regexp_replace(F.coalesce(role, F.lit("")), r"[|\n]", "_")
+
+
 def _head(role: Column) -> Column:
     return F.concat(F.lit("<|"), role, F.lit("|>\n"))
 
@@ -33,13 +42,38 @@ def _mask(turns: Column) -> Column:
     return F.aggregate(turns, start, add, lambda s: s["spans"])
 
 
+def swapped_answers(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each conversation, and a variant whose last answer is that of the next one.
+
+    ``turns`` has ``conv_id, turn, role, text``. The last answer is the assistant's row with the
+    largest turn (then text), repeated rows of it included; it takes the text of the last answer
+    of conversation ``conv_id + 1``, or none if there is no such. Rows without ``conv_id`` take no part; a
+    conversation without an answer stays as it is. Two equi-joins on the conversation.
+    """
+    turns = turns.where("conv_id IS NOT NULL")
+    text = F.coalesce("text", F.lit(""))
+    answer = F.max(F.struct("turn", text.alias("text")))
+    last = turns.where(F.col("role") == TRAINED_ROLE).groupBy("conv_id").agg(answer.alias("_last"))
+    # The largest id has no next one; adding would overflow.
+    other = last.where(F.col("conv_id") > -(1 << 63)).select(
+        (F.col("conv_id").cast("long") - 1).alias("conv_id"), F.col("_last.text").alias("_other")
+    )
+    both = last.join(other, "conv_id", "left")
+    same = (F.col("role") == TRAINED_ROLE) & F.col("turn").eqNullSafe(F.col("_last.turn")) & (text == F.col("_last.text"))
+    swapped = F.when(same, F.coalesce("_other", F.lit(""))).otherwise(F.col("text"))
+    columns = [swapped.alias(c) if c == "text" else F.col(c) for c in turns.columns]
+    return turns, turns.join(both, "conv_id", "left").select(*columns)
+
+
 def preference_pairs(turns: DataFrame, pair: Column, chosen: Column) -> DataFrame:
     """One row per pair of conversations, from one row per turn.
 
     ``turns`` has ``turn, role, text``; ``pair`` names the pair of a turn's
     conversation (NULL: the turn belongs to none and takes no part) and ``chosen``
     tells whether the conversation is the chosen one (NULL: it is not). NULL role
-    and text count as empty.
+    and text count as empty. A text that holds ``<|`` is written with ``<\\|``, so
+    that it opens no turn (and ``<\\`` with ``<\\\\``, so that it can be read back); bars and line breaks
+    of a role become underscores.
 
     ``prompt`` is the longest common prefix of both lists of turns, rendered once;
     ``chosen``/``rejected`` are the rest of each, ``chosen_mask``/``rejected_mask`` the
@@ -52,8 +86,8 @@ def preference_pairs(turns: DataFrame, pair: Column, chosen: Column) -> DataFram
     """
     turn = F.struct(
         "turn",
-        F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"),
+        _role(F.col("role")).alias("role"),
+        _escaped(F.col("text")).alias("text"),
     )
     sided = turns.select(pair.alias("pair_id"), F.coalesce(chosen, F.lit(False)).alias("c"), turn.alias("t"))
     both = (

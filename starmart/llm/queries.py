@@ -60,11 +60,24 @@ def op2_exact_dedup(spark, sf_dir):
 
 
 @query(
-    """
-    WITH t AS (
-        SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS chosen, turn,
-               coalesce(role, '') AS role, coalesce(text, '') AS text
+    r"""
+    WITH src AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
         FROM conversations WHERE conv_id IS NOT NULL
+    ), last AS (
+        SELECT conv_id, turn AS last_turn, text AS last_text FROM src WHERE role = 'assistant'
+        QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, text DESC) = 1
+    ), raw AS (
+        SELECT conv_id AS pair_id, true AS chosen, turn, role, text FROM src
+        UNION ALL
+        SELECT s.conv_id, false, s.turn, s.role,
+               CASE WHEN s.role = 'assistant' AND s.turn IS NOT DISTINCT FROM l.last_turn AND s.text = l.last_text
+                    THEN coalesce(o.last_text, '') ELSE s.text END
+        FROM src s LEFT JOIN last l ON l.conv_id = s.conv_id LEFT JOIN last o ON o.conv_id - 1 = s.conv_id
+    ), t AS (
+        SELECT pair_id, chosen, turn, regexp_replace(role, '[|\n]', '_', 'g') AS role,
+               regexp_replace(text, '<([|\\])', '<\\\1', 'g') AS text
+        FROM raw
     ), n AS (
         SELECT *, row_number() OVER (PARTITION BY pair_id, chosen ORDER BY turn NULLS FIRST, role, text) AS i
         FROM t
@@ -100,10 +113,10 @@ def op2_exact_dedup(spark, sf_dir):
     """
 )
 def op3_preference_pairs(spark, sf_dir):
-    """Conversations 2k (chosen) and 2k + 1 (rejected) are a pair."""
-    turns = table(spark, sf_dir, "conversations")
-    pair = F.shiftright(F.col("conv_id").cast("long"), 1)
-    pairs = chat.preference_pairs(turns, pair, F.pmod("conv_id", F.lit(2)) == 0)
+    """Each conversation (chosen) and its variant with the next one's last answer (rejected) are a pair."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    chosen, rejected = (side.withColumn("chosen", F.lit(i == 0)) for i, side in enumerate(chat.swapped_answers(turns)))
+    pairs = chat.preference_pairs(chosen.union(rejected), F.col("conv_id"), F.col("chosen"))
 
     def spans(mask):
         return F.array_join(F.transform(mask, lambda s: F.concat_ws("-", s["begin"], s["end"])), ",")
