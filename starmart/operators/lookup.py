@@ -120,6 +120,7 @@ def lookup(
     allow_fan_out: bool = False,
     hot: Sequence[int] = (),
     spread_by: Sequence[str] | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add dimension columns ``values`` to ``df`` by matching ``cols``.
 
@@ -139,6 +140,10 @@ def lookup(
     Their dimension rows, few and counted, are broadcast; rows with such a tuple find
     theirs there and are dealt by a hash of ``spread_by`` instead of their tuple, so no
     task receives a whole hot group, however large. No row is dropped or copied.
+
+    ``rows`` is the number of rows of ``dim`` (or a bound on it) where the caller has counted
+    them. If they are too many to broadcast (``counted_large``) both sides are shuffled, whatever
+    Spark makes of the size of the compressed files.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup joins are left or inner, not {how!r}")
@@ -161,6 +166,7 @@ def lookup(
     condition = _match(given, stored, null_safe)
     if kept is not None:
         condition = condition & kept
+    large = counted_large(slim, rows)
     left, right = df, slim if found_again is None else slim.where(found_again)
     if len(cols) > 1 or hot:
         left = left.withColumn("_lh", hash_key(given))
@@ -172,10 +178,14 @@ def lookup(
         is_hot = F.col("_rh") == F.col("_hot_hash")
         few = right.join(hashes, is_hot, "left_semi")
         if few.limit(_MOST_HOT_ROWS + 1).count() <= _MOST_HOT_ROWS:
-            rest = right.join(hashes, is_hot, "left_anti")
+            rest = _shuffled(right.join(hashes, is_hot, "left_anti"), large)
             return _join_hot_apart(left, rest, few, condition, how, hashes, spread_by).select(*df.columns, *found)
         warnings.warn(f"over {_MOST_HOT_ROWS} dimension rows are hot in {list(cols)}: left to adaptive execution", stacklevel=2)
-    return left.join(right, condition, how).select(*df.columns, *found)
+    return left.join(_shuffled(right, large), condition, how).select(*df.columns, *found)
+
+
+def _shuffled(df: DataFrame, large: bool) -> DataFrame:
+    return df.hint("merge") if large else df
 
 
 def _join_hot_apart(
@@ -199,21 +209,32 @@ def _join_hot_apart(
     first = marked.join(F.broadcast(few.withColumn("_met", F.lit(True))), condition, "left").select(
         *marked.columns, place.alias("_place"), F.col("_met").alias("_hmet"), *[F.col(v).alias(f"_h{v}") for v in values]
     )
-    rest = rest.withColumn("_met", F.lit(True))
-    joined = first.join(rest, (F.col("_place") == F.col("_rh")) & condition, "left")
+    joined = first.join(rest.withColumn("_met", F.lit(True)), (F.col("_place") == F.col("_rh")) & condition, "left")
     if how == "inner":
         joined = joined.where(F.when(F.col("_hot"), F.col("_hmet")).otherwise(F.col("_met")))
     chosen = {v: F.when(F.col("_hot"), F.col(f"_h{v}")).otherwise(F.col(v)) for v in values}
     return joined.select(*left.columns, *[c.alias(v) for v, c in chosen.items()])
 
 
-def may_shuffle(dim: DataFrame) -> bool:
-    """Whether Spark may shuffle for a join with ``dim``: unless it broadcasts it, by its
-    own estimate and threshold. A broadcast join knows no skew."""
-    session = dim.sparkSession._jsparkSession
-    threshold = session.sessionState().conf().autoBroadcastJoinThreshold()
+def _broadcast_threshold(df: DataFrame) -> int:
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def counted_large(dim: DataFrame, rows: int | None) -> bool:
+    """Whether ``rows`` rows of ``dim`` take more than Spark's broadcast threshold in memory.
+
+    Spark's own estimate is the size of the files, scaled by the width of the columns that are
+    read. Keys compress to a byte or two each, so it would broadcast tens of millions of them.
+    """
+    return rows is not None and rows * (8 + dim._jdf.schema().defaultSize()) > _broadcast_threshold(dim)
+
+
+def may_shuffle(dim: DataFrame, rows: int | None = None) -> bool:
+    """Whether a join with ``dim`` may shuffle: unless Spark broadcasts it, by its own
+    estimate and threshold, and its ``rows``, if counted, are no more than that. A broadcast
+    join knows no skew."""
     size = dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) > threshold
+    return int(str(size)) > _broadcast_threshold(dim) or counted_large(dim, rows)
 
 
 def lookup_large(
@@ -228,12 +249,16 @@ def lookup_large(
     """``lookup`` that finds the hot groups itself, unless Spark broadcasts the dimension.
 
     ``hot_share`` is the share of the rows from which a tuple is hot; given, they are
-    always sought. See ``frequent_tuples`` for what holds otherwise.
+    always sought. See ``frequent_tuples`` for what holds otherwise. Spark's estimate says which dimensions
+    it would broadcast; these are counted.
     """
     names = [values] if isinstance(values, str) else list(values)
-    sought = hot_share is not None or may_shuffle(dim.select(*cols, *names))
+    slim = dim.select(*cols, *names)
+    # What Spark shuffles anyway need not be counted.
+    rows = None if may_shuffle(slim) else dim.count()
+    sought = hot_share is not None or may_shuffle(slim, rows)
     hot = frequent_tuples(df, {"hot": lookup_keys(df, dim, cols)}, hot_share)["hot"] if sought else ()
-    return lookup(df, dim, cols, values, hot=hot, spread_by=spread_by, **options)
+    return lookup(df, dim, cols, values, hot=hot, spread_by=spread_by, rows=rows, **options)
 
 
 def fan_out(df: DataFrame, dim: DataFrame, cols: Sequence[str]) -> DataFrame:

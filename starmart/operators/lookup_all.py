@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.lookup import counted_large
+
 # Rows of one tuple go to as many parts as eighths of a task's mean load they make up.
 _PARTS_PER_TASK = 8
 
@@ -41,6 +43,7 @@ def lookup_all(
     lookups: Mapping[str, tuple[Column, DataFrame]],
     kept: Sequence[str],
     hot: Mapping[str, Mapping[int, float]] | None = None,
+    counted: int | None = None,
 ) -> DataFrame:
     """``kept`` columns of ``df`` with a key column for each of ``lookups``.
 
@@ -51,7 +54,8 @@ def lookup_all(
 
     ``hot`` has the shares of frequent tuples (``frequent_shares``) by lookup: such a group is dealt
     to several parts by row number, and its dimension row is copied to each, in all no
-    more than 8 copies a task and lookup. Results do not depend on it.
+    more than 8 copies a task and lookup. Results do not depend on it. ``counted`` is the number of rows of all
+    dimensions, if known: too many of them are not broadcast (``counted_large``).
     """
     if not lookups:
         return df.select(*kept)
@@ -74,6 +78,8 @@ def lookup_all(
     found = _with_parts(reduce(DataFrame.union, dims), hot, names)
     found = found.select("_ref", "_hash", "_key", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_part"))
 
+    if counted_large(found, counted):
+        found = found.hint("merge")
     joined = rows.join(found, ["_ref", "_hash", "_part"], "left")
     keys = [F.max(F.when(F.col("_ref") == i, F.col("_key"))).alias(f"_k{i}") for i in range(len(names))]
     # Dealt by row before the aggregation: partial sums of single triples would save nothing.

@@ -88,16 +88,17 @@ def resolve_keys(
             keys, options, given = [tuple_hash], {"null_safe": False}, [by_lookup]
             # No row finds what a NULL keeps from being found.
             dim = (by_hash if null_safe else by_hash.dropna(subset=attributes)).select(tuple_hash, ref.column)
-        if hot_share is not None or may_shuffle(dim):
+        if hot_share is not None or may_shuffle(dim, sizes[ref.table]):
             sought[ref.column] = given
-        lookups.append((ref.column, dim, keys, options))
+        lookups.append((ref.column, dim, keys, {**options, "rows": sizes[ref.table]}))
     hot = frequent_shares(df, sought, hot_share)
     rows = df.select("*", *computed)
     if one_shuffle:
         together = {column: (F.col(keys[0]), dim) for column, dim, keys, _ in lookups if keys[0].startswith("_tuple_")}
+        counted = sum(options["rows"] for column, _, _, options in lookups if column in together)
         lookups = [l for l in lookups if l[0] not in together]
         needed = {*written, *[k for _, _, later, _ in lookups for k in later], *[a for _, _, attributes in settled for a in attributes]}
-        rows = lookup_all(rows, together, [c for c in rows.columns if c in needed and c not in together], hot)
+        rows = lookup_all(rows, together, [c for c in rows.columns if c in needed and c not in together], hot, counted)
     for ref, side, attributes in settled:
         rows = settled_key(rows, side, star.table(ref.table).key, attributes, F.col(ref.column), ref.column)
     for i, (column, dim, keys, options) in enumerate(lookups):
@@ -231,7 +232,7 @@ def denormalize(
 
     sizes = {ref.table: tables[ref.table].count() for ref in spec.references}
     small = (bucketed, broadcast)
-    large = [r.column for r in spec.references if r.table not in small and (hot_share is not None or may_shuffle(tables[r.table]))]
+    large = [r.column for r in spec.references if r.table not in small and (hot_share is not None or may_shuffle(tables[r.table], sizes[r.table]))]
     hot = frequent_tuples(start, {c: [c] for c in large}, hot_share)
     df = start
     # Large dimensions shuffle the rows: they go first, while the rows are narrow.
@@ -255,5 +256,6 @@ def denormalize(
             null_safe=False,
             hot=hot.get(ref.column, ()),
             spread_by=[spec.key],
+            rows=None if ref.table in small else sizes[ref.table],
         )
     return df.select(*wide)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.operators.dims import extract_dim, frequent_tuples
-from starmart.operators.lookup import FanOutError, fan_out, lookup
+from starmart.operators.lookup import FanOutError, fan_out, lookup, lookup_large, may_shuffle
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +68,26 @@ def test_bad_arguments(facts):
     with pytest.raises(ValueError):
         lookup(facts, dim, ["a"], "k", hot=[1])
 
+
+def test_counted_rows_decide_about_the_broadcast(spark, conf, tmp_path):
+    """Keys compress to far less than a join holds of them: files under the threshold, rows over it."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "200000")
+    n = 20_000
+    spark.range(n).select("id", (F.col("id") % 7).alias("k"), F.lit("x" * 200).alias("text")).write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim")).select("id", "k")
+    facts = spark.range(3 * n).withColumn("row", F.col("id") + 0)
+    assert not may_shuffle(dim) and may_shuffle(dim, n) and not may_shuffle(dim, 1_000)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "Broadcast" in plan(lookup(facts, dim, ["id"], "k", rows=1_000))
+    large = lookup(facts, dim, ["id"], "k", rows=n)
+    assert "SortMergeJoin" in plan(large) and "Broadcast" not in plan(large)
+    assert "SortMergeJoin" in plan(lookup_large(facts, dim, ["id"], "k", spread_by=["row"]))
+    assert large.where("k = id % 7").count() == n and large.where("k IS NULL").count() == 2 * n
+    # Hot groups are met by broadcast, the rest is shuffled.
+    hot = frequent_tuples(facts, {"t": ["id"]}, share=1e-5)["t"][:3]
+    apart = lookup(facts, dim, ["id"], "k", hot=hot, spread_by=["row"], rows=n)
+    assert "SortMergeJoin" in plan(apart)
+    assert sorted(apart.collect()) == sorted(large.collect())

@@ -106,3 +106,16 @@ def test_repeated_and_missing(spark):
     assert rows(found) == rows(spark.createDataFrame([(1, 50, None), (1, 50, None), (None, None, None), (2, None, None)], "id long, k long, m long"))
     assert lookup_all(df.where("false"), {"k": (F.col("h"), dim)}, ["id"]).count() == 0
     assert rows(lookup_all(df, {}, ["id"])) == rows(df.select("id"))
+
+
+def test_counted_dimensions_decide_about_the_broadcast(spark, loaded, conf):
+    """Each dimension's files are under the threshold, the rows of all together are over it."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "10000")
+    wide, tables = loaded
+    hashes = {n: hash_key([f"a{i}", f"b{i}"]) for i, n in enumerate(f"k{i}" for i in range(4))}
+    dims = {n: tables[f"d{i}"].select(hash_key([f"a{i}", f"b{i}"]).alias("h"), n).where("h IS NOT NULL") for i, n in enumerate(hashes)}
+    lookups = {n: (hashes[n], dims[n]) for n in hashes}
+    few, many = (lookup_all(wide, lookups, ["id"], counted=c) for c in (1, 100_000))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (few, many)]
+    assert "SortMergeJoin" in plans[1] and "Broadcast" not in plans[1]
+    assert rows(few) == rows(many)
