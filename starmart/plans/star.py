@@ -127,7 +127,7 @@ def build_star(
 
     All tables, or those of ``only`` with the ones whose keys they look up.
 
-    ``clean`` is written once unless ``staged`` says that it already reads from
+    ``clean`` is written once, in the columns that these tables are made of, unless ``staged`` says that it already reads from
     files: each dimension then scans only its own columns. Dimensions with keys of
     ours are written before the tables that refer to them, and those use the written
     keys; a natural key is in the rows already and needs no waiting. Tables
@@ -142,10 +142,6 @@ def build_star(
     spark = clean.sparkSession
     scratch = workspace(spark)
     store = store or workspace(spark)
-    wide = clean.select(*[c.name for c in star.wide_columns])
-    if not staged:
-        wide = scratch.save("clean", wide)
-
     def looked_up(name: str) -> list[str]:
         return [r.table for r in star.table(name).references if not star.table(r.table).natural_key]
 
@@ -153,6 +149,12 @@ def build_star(
     for name in wanted:
         wanted += [n for n in looked_up(name) if n not in wanted]
 
+    # Columns of the wanted tables only: cleaning and writing one costs the same whether it is read or not.
+    read = {c for n in wanted for c in (star.table(n).key, *star.wide_attributes(n), *(latest or {}).get(n, ()))}
+    wide = clean.select(*[c.name for c in star.wide_columns if c.name in read])
+    if not staged:
+        wide = scratch.save("clean", wide)
+
     tables: dict[str, DataFrame] = {}
     kinds: dict[str, str] = {}
     sides: dict[str, DataFrame] = {}

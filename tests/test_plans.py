@@ -7,10 +7,10 @@ import pytest
 from listing_rows import raw_rows
 from starmart.operators.dims import distinct_rows
 from starmart.operators.lookup import lookup
-from starmart.plans.listings import LISTINGS_STAR, clean_listings
+from starmart.plans.listings import LISTINGS_STAR, clean_listings, load_listings
 from starmart.plans.star import build_star, resolve_keys
 from starmart.queries import QUERIES
-from starmart.sources.store import workspace
+from starmart.sources.store import FolderStore, workspace
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -80,3 +80,24 @@ def test_filters_reach_the_scan(spark):
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF))
     assert "EvalPython" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_the_clean_copy_has_the_columns_of_the_wanted_tables(spark, monkeypatch):
+    """The fact alone needs no host but its id, and no column of the host's own dimensions."""
+    saved, save = {}, FolderStore.save
+
+    def spy(self, name, df, replace=False):
+        saved.setdefault(name, df.columns)
+        return save(self, name, df, replace)
+
+    monkeypatch.setattr(FolderStore, "save", spy)
+    raw = raw_rows(spark)
+    alone = load_listings(raw, key_kind="dense", only=["listings"])["listings"]
+    copied = set(saved.pop("clean"))
+    host = set(LISTINGS_STAR.reachable_attributes("host")) - {"host_id"}
+    others = {a for n in LISTINGS_STAR.write_order if n != "host" for a in LISTINGS_STAR.wide_attributes(n)}
+    assert copied == {c.name for c in LISTINGS_STAR.wide_columns} - host
+    assert "host_id" in copied and copied < others
+    whole = load_listings(raw, key_kind="dense")["listings"]
+    assert len(saved.pop("clean")) == len(LISTINGS_STAR.wide_columns)
+    assert sorted(alone.collect()) == sorted(whole.collect())
