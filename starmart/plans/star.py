@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 
@@ -17,7 +18,7 @@ from starmart.operators.dims import distinct_rows, frequent_shares, frequent_tup
 from starmart.operators.keys import has_duplicates, hash_key, narrowed
 from starmart.operators.lookup import FanOutError, lookup, lookup_hash, lookup_keys, may_shuffle
 from starmart.operators.lookup_all import lookup_all
-from starmart.sources.store import Store, workspace
+from starmart.sources.store import UNSEARCHED, Store, workspace
 from starmart.spec import Star
 
 
@@ -140,7 +141,7 @@ def build_star(
     greatest in the wide columns given (``latest_versions``). Without it all versions are written.
     """
     spark = clean.sparkSession
-    scratch = workspace(spark)
+    scratch = replace(workspace(spark), options=UNSEARCHED)
     store = store or workspace(spark)
     def looked_up(name: str) -> list[str]:
         return [r.table for r in star.table(name).references if not star.table(r.table).natural_key]
@@ -207,6 +208,7 @@ def denormalize(
     allow_fan_out: bool = False,
     bucketed: str | None = None,
     broadcast: str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join a table (the fact by default) back with everything it refers to.
 
@@ -219,6 +221,9 @@ def denormalize(
     ``bucketed`` names a dimension laid out like the table (``plans.layout``): it is joined first, by a
     merge of buckets, with no hot groups split off. ``broadcast`` names one that the caller has
     counted to be small.
+
+    ``columns`` names the columns of the result, in its order. Tables that have none of them are not
+    joined: that would change no row, unless ``allow_fan_out`` lets a natural key multiply them.
     """
     spec = star.table(table or star.fact.name)
     start = tables[spec.name]
@@ -232,9 +237,12 @@ def denormalize(
         if target.natural_key and target.key not in wide:
             wide.append(target.key)
 
-    sizes = {ref.table: tables[ref.table].count() for ref in spec.references}
+    if columns is not None:
+        joins = [(r, a) for r, a in joins if {*a, star.table(r.table).key} & {*columns} - {*start.columns} or allow_fan_out]
+
+    sizes = {ref.table: tables[ref.table].count() for ref, _ in joins}
     small = (bucketed, broadcast)
-    large = [r.column for r in spec.references if r.table not in small and (hot_share is not None or may_shuffle(tables[r.table], sizes[r.table]))]
+    large = [r.column for r, _ in joins if r.table not in small and (hot_share is not None or may_shuffle(tables[r.table], sizes[r.table]))]
     hot = frequent_tuples(start, {c: [c] for c in large}, hot_share)
     df = start
     # Large dimensions shuffle the rows: they go first, while the rows are narrow.
@@ -260,4 +268,4 @@ def denormalize(
             spread_by=[spec.key],
             rows=None if ref.table in small else sizes[ref.table],
         )
-    return df.select(*wide)
+    return df.select(*(wide if columns is None else columns))

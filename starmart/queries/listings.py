@@ -334,7 +334,7 @@ def listings_host_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hosts with two versions: every listing joined back with its host's latest one."""
     raw = raw_listings(spark, sf_dir).withColumn("host_about", F.expr(_TWO_VERSIONS))
     tables = load_listings(raw, latest={"host": ["last_scraped", "listing_id"]})
-    return denormalize(LISTINGS_STAR, tables).select("listing_id", "host_id", *_HOST_ATTRIBUTES)
+    return denormalize(LISTINGS_STAR, tables, columns=["listing_id", "host_id", *_HOST_ATTRIBUTES])
 
 
 _RANGES_SQL = f"""WITH r AS (SELECT host_id, last_scraped, {_TWO_VERSIONS} AS host_about FROM ({RAW_LISTINGS_SQL}) r),

@@ -11,6 +11,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Mapping
 from contextlib import suppress
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -28,18 +29,24 @@ class Store(Protocol):
         """The table as written."""
 
 
+# For intermediate tables that are read whole: no statistics or checksums of pages, which take a
+# seventh of the time that the clean copy of 69 columns takes to write.
+UNSEARCHED = {"parquet.column.statistics.enabled": "false", "parquet.page.write-checksum.enabled": "false"}
+
+
 @dataclass
 class FolderStore:
     """One Parquet folder per table below ``base``."""
 
     base: str
     mode: str = "overwrite"
+    options: Mapping[str, str] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.base.rstrip('/')}/{name}"
 
     def save(self, name: str, df: DataFrame, replace: bool = False) -> DataFrame:
-        df.write.mode("overwrite" if replace else self.mode).parquet(self.path(name))
+        df.write.mode("overwrite" if replace else self.mode).options(**self.options).parquet(self.path(name))
         # The schema is known: no footer has to be opened to find it again.
         return df.sparkSession.read.schema(df.schema).parquet(self.path(name))
 

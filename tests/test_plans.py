@@ -8,7 +8,7 @@ from listing_rows import raw_rows
 from starmart.operators.dims import distinct_rows
 from starmart.operators.lookup import lookup
 from starmart.plans.listings import LISTINGS_STAR, clean_listings, load_listings
-from starmart.plans.star import build_star, resolve_keys
+from starmart.plans.star import build_star, denormalize, resolve_keys
 from starmart.queries import QUERIES
 from starmart.sources.store import FolderStore, workspace
 
@@ -101,3 +101,14 @@ def test_the_clean_copy_has_the_columns_of_the_wanted_tables(spark, monkeypatch)
     whole = load_listings(raw, key_kind="dense")["listings"]
     assert len(saved.pop("clean")) == len(LISTINGS_STAR.wide_columns)
     assert sorted(alone.collect()) == sorted(whole.collect())
+
+
+def test_joining_back_some_columns_joins_only_their_tables(spark):
+    tables = load_listings(raw_rows(spark))
+    whole = denormalize(LISTINGS_STAR, tables)
+    for columns, joins in ((["listing_id", "host_id", "host_name", "host_verifications"], 3), (["name", "host_id"], 0), (["daily_price", "listing_id"], 1)):
+        some = denormalize(LISTINGS_STAR, tables, columns=columns)
+        assert some.columns == columns
+        # Nested dimensions of the host are joined with it.
+        assert plan(some).count("HashJoin") + plan(some).count("SortMergeJoin") == joins
+        assert sorted(some.collect(), key=str) == sorted(whole.select(*columns).collect(), key=str)
