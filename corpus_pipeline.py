@@ -7,11 +7,14 @@ of the mix go or come; the last stage returns the tokens' digests of each row.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm import bpe, exact_dedup, langid, mixing, simhash
 from starmart.llm.common import table
 from starmart.llm.queries import tokenizer_path
+from starmart.session import tune_texts
 from starmart.sources.store import workspace
 
 
@@ -40,12 +43,20 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, tokenizer_path())
 
 
+def _in_small_batches(stage):
+    @wraps(stage)
+    def run_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(tune_texts(spark), docs, sf_dir)
+
+    return run_
+
+
 STAGES = [
-    ("language_id", language),
-    ("exact_dedup", exact),
-    ("simhash_dedup", near),
-    ("mixing", mix),
-    ("bpe", tokens),
+    ("language_id", _in_small_batches(language)),
+    ("exact_dedup", _in_small_batches(exact)),
+    ("simhash_dedup", _in_small_batches(near)),
+    ("mixing", _in_small_batches(mix)),
+    ("bpe", _in_small_batches(tokens)),
 ]
 
 # Language profiles, fingerprints, dependent rounding and BPE are no SQL.
